@@ -121,6 +121,11 @@ def decode_entities(text: Column, attribute: bool = False) -> Column:
     ``&lt;``. ``attribute=True`` applies the stricter rule for attribute values, which
     leaves ``?a=1&copy=2`` alone.
     """
+    return F.element_at(decode_all(F.array(text), attribute), 1)
+
+
+def decode_all(texts: Column, attribute: bool = False) -> Column:
+    """:func:`decode_entities` for an array; one expression serves all of its elements."""
 
     def decode(t: Column) -> Column:
         pieces = F.transform(
@@ -131,4 +136,4 @@ def decode_entities(text: Column, attribute: bool = False) -> Column:
         )
         return F.when(F.contains(t, F.lit("&")), F.array_join(pieces, "")).otherwise(t)
 
-    return bind(text, decode)
+    return F.transform(texts, decode)

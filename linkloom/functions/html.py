@@ -9,7 +9,8 @@ Every repetition in the patterns is possessive or a plain character class, which
 as a loop: a page with 100,000 attributes neither overflows the stack nor backtracks.
 
 Limits of this route compared with a tree builder: elements ignored inside ``select``,
-``frameset`` pages, ``body`` implied by content before an explicit ``<body>``, and
+``frameset`` pages, character references in the values that :func:`has_class` and
+:func:`has_attribute_value` test, ``body`` implied by content before an explicit ``<body>``, and
 foreign (SVG/MathML) parsing rules.
 """
 
@@ -65,7 +66,7 @@ _TOKENS = (
     r"(?is)(?=<)(?:<!--(?:>|->|.*?(?:--!?>|\z))"
     rf"|(<({_RAW_ALL}){_NAME_END}{_ATTRS}{_TAG_END})(.*?)"
     rf"(?:(</\2{_NAME_END}[^>]*+{_TAG_END})|\z)"
-    rf"|({_TAG})"
+    rf"|(</?[a-z]{_ATTRS}>)|</?[a-z]{_ATTRS}\z"
     rf"|<[!?][^>]*+{_TAG_END}|</[^a-z>][^>]*+{_TAG_END}|</>)"
 )
 _STRIP = rf"(?is)[{TAG_MARK}{SPLIT_MARK}](?:{_raw_element(_RAW_ALL, 1)}|{_TAG})?"
@@ -120,16 +121,11 @@ def text_of(marked: Column) -> Column:
     return decode_entities(strip_tags(marked))
 
 
-def text_bytes(marked: Column, text: Column) -> Column:
-    """UTF-8 length of the text of ``marked``, where ``text`` is its :func:`text_of`.
-
-    Script-like content is text but holds no character references, so what decoding took
-    away from it is added back.
-    """
-    raw = F.array_join(F.regexp_extract_all(marked, F.lit(_RAW_CONTENT), 2), "\n")
-    lost = bind(raw, lambda r: F.octet_length(r) - F.octet_length(decode_entities(r)))
+def raw_text(marked: Column) -> Column:
+    """Script-like content of a marked fragment, which is text but holds no references."""
     has_raw = marked.rlike(rf"{TAG_MARK}<(?i:{_RAW_TEXT}){_NAME_END}")
-    return F.octet_length(text) + F.when(has_raw, lost).otherwise(0)
+    content = F.array_join(F.regexp_extract_all(marked, F.lit(_RAW_CONTENT), 2), "\n")
+    return F.when(has_raw, content).otherwise("")
 
 
 def body_of(marked: Column) -> Column:
@@ -151,9 +147,9 @@ def trim_unicode(text: Column) -> Column:
     return F.btrim(text, F.lit(UNICODE_SPACE))
 
 
-def title_of(marked: Column) -> Column:
-    """Decoded text of all ``title`` elements, not trimmed."""
-    return decode_entities(F.array_join(F.regexp_extract_all(marked, F.lit(_TITLE), 2), ""))
+def title_source(marked: Column) -> Column:
+    """Text of all ``title`` elements, references not yet decoded, not trimmed."""
+    return F.array_join(F.regexp_extract_all(marked, F.lit(_TITLE), 2), "")
 
 
 def count_headings(tags: Column) -> Column:
@@ -175,25 +171,27 @@ def has_element(tags: Column, name: str) -> Column:
     return tags.rlike(rf"<{name}{_SEQ_END}")
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Decoded value of attribute ``name`` of the tag that ``tag`` starts with; NULL when absent.
+def attributes(tag: Column) -> Column:
+    """Attributes of the tag that ``tag`` starts with, as ``name=value`` source texts.
 
-    The attributes are cut apart from left to right, so a name inside another attribute's
-    quoted value is not found. The first of repeated attributes counts.
+    They are cut apart from left to right, so a name inside a quoted value is not found.
     """
     inner = F.regexp_extract(
         tag, rf"(?s)\A[{TAG_MARK}{SPLIT_MARK}]?<[a-zA-Z][^\s/>]*+({_ATTRS}){_TAG_END}", 1
     )
-    found = F.get(
-        F.filter(
-            F.regexp_extract_all(inner, F.lit(_ATTRIBUTE), 0),
-            lambda a: a.rlike(rf"(?i)\A{name}\s*(?:=|\z)"),
-        ),
-        0,
-    )
+    return F.regexp_extract_all(inner, F.lit(_ATTRIBUTE), 0)
+
+
+def attribute_value(attrs: Column, name: str) -> Column:
+    """Value of attribute ``name`` as written, NULL when absent; the first of repeats counts."""
+    found = F.get(F.filter(attrs, lambda a: a.rlike(rf"(?i)\A{name}\s*(?:=|\z)")), F.lit(0))
     value = F.regexp_replace(found, r"\A[^=]*+(?:=\s*+)?", "")
-    unquoted = F.regexp_replace(value, r"""(?s)\A(["'])(.*?)(?:\1|\z)""", "$2")
-    return decode_entities(unquoted, attribute=True)
+    return F.regexp_replace(value, r"""(?s)\A(["'])(.*?)(?:\1|\z)""", "$2")
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Decoded value of attribute ``name`` of the tag that ``tag`` starts with."""
+    return decode_entities(attribute_value(attributes(tag), name), attribute=True)
 
 
 def has_attribute_value(marked: Column, element: str, name: str, value: str) -> Column:
@@ -201,7 +199,9 @@ def has_attribute_value(marked: Column, element: str, name: str, value: str) ->
     tags = F.regexp_extract_all(
         marked, F.lit(rf"(?is){TAG_MARK}<{element}{_NAME_END}{_ATTRS}{_TAG_END}"), 0
     )
-    return F.exists(tags, lambda t: F.coalesce(attribute(t, name) == value, F.lit(False)))
+    return F.exists(tags, lambda t: F.coalesce(
+        attribute_value(attributes(t), name) == value, F.lit(False)
+    ))
 
 
 def has_class(marked: Column, pattern: str, hints: tuple[str, ...]) -> Column:
@@ -219,7 +219,8 @@ def has_class(marked: Column, pattern: str, hints: tuple[str, ...]) -> Column:
     )
     exact = F.exists(
         tags,
-        lambda t: hinted(t) & F.coalesce(attribute(t, "class").rlike(pattern), F.lit(False)),
+        lambda t: hinted(t)
+        & F.coalesce(attribute_value(attributes(t), "class").rlike(pattern), F.lit(False)),
     )
     return F.when(hinted(marked), exact).otherwise(False)
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import html as H, scoring as S
+from ..functions.entities import decode_all
 
 # Class hints for sharing buttons and breadcrumb navigation.
 SOCIAL_CLASS, SOCIAL_HINTS = "share|social", ("share", "social")
@@ -32,33 +33,45 @@ def with_features(marked: DataFrame) -> DataFrame:
         {
             "_body": H.body_of(m),
             "_anchors": F.array_join(H.anchors_of(m), ""),
-            "title": H.title_of(m),
+            "_tags": H.tag_sequence(m),
+            "_title": H.title_source(m),
+            "_breadcrumb": H.has_class(m, BREADCRUMB_CLASS, ("breadcrumb",)),
             "size": F.octet_length("html").cast("long"),
             "hash": F.md5("html"),
-            "_tags": H.tag_sequence(m),
             "has_meta_description": H.has_attribute_value(m, "meta", "name", "description"),
-            "_breadcrumb": H.has_class(m, BREADCRUMB_CLASS, ("breadcrumb",)),
             "has_social": H.has_class(m, SOCIAL_CLASS, SOCIAL_HINTS),
         }
     )
+    body, anchors, tags = F.col("_body"), F.col("_anchors"), F.col("_tags")
     stage = stage.withColumns(
         {
-            "_text": H.text_of(F.col("_body")),
-            "_anchor_text": H.text_of(F.col("_anchors")),
-            "n_headings": H.count_headings(F.col("_tags")),
-            "n_paragraphs": H.count_paragraphs(F.col("_tags")),
-            "has_article": H.has_element(F.col("_tags"), "article"),
-            "has_navigation": H.has_element(F.col("_tags"), "nav") | F.col("_breadcrumb"),
+            "_source": F.array(
+                F.col("_title"), H.strip_tags(body), H.strip_tags(anchors), H.raw_text(body),
+                H.raw_text(anchors),
+            ),
+            "n_headings": H.count_headings(tags),
+            "n_paragraphs": H.count_paragraphs(tags),
+            "has_article": H.has_element(tags, "article"),
+            "has_navigation": H.has_element(tags, "nav") | F.col("_breadcrumb"),
         }
     )
+    stage = stage.withColumn("_text", decode_all(F.col("_source")))
+    source, text = F.col("_source"), F.col("_text")
+
+    def text_bytes(i: int, raw: int) -> Column:
+        # Decoding shortened script-like content too; that length is added back.
+        lost = F.octet_length(source[raw]) - F.octet_length(text[raw])
+        return F.octet_length(text[i]) + lost
+
     stage = stage.withColumns(
         {
-            "_body_len": H.text_bytes(F.col("_body"), F.col("_text")),
-            "_anchor_len": H.text_bytes(F.col("_anchors"), F.col("_anchor_text")),
-            "_trimmed": F.octet_length("_text") - F.octet_length(H.trim_unicode(F.col("_text"))),
+            "title": text[0],
+            "_body_len": text_bytes(1, 3),
+            "_anchor_len": text_bytes(2, 4),
+            "_trimmed": F.octet_length(text[1]) - F.octet_length(H.trim_unicode(text[1])),
         }
     )
-    stage = stage.withColumn("text_len", (F.col("_body_len") - F.col("_trimmed")).cast("int"))
+    stage = stage.withColumn("text_len", F.col("_body_len") - F.col("_trimmed"))
     scored = stage.withColumns(
         {
             "content_quality": S.content_quality(
@@ -72,8 +85,8 @@ def with_features(marked: DataFrame) -> DataFrame:
             ),
         }
     )
-    return scored.drop("_body", "_anchors", "_text", "_anchor_text", "_body_len", "_anchor_len",
-                       "_trimmed", "_tags", "_breadcrumb")
+    kept = [c for c in marked.columns if c not in FEATURES]
+    return scored.select(*kept, *FEATURES)
 
 
 def analyze_content(captures: DataFrame) -> DataFrame:

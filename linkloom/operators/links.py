@@ -6,17 +6,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import html as H, scoring as S, urls as U
 from ..functions.bind import bind
+from ..functions.entities import decode_all
 from ..schemas import PENDING
 from .content import marked_pages, with_features
 
 
 def _link(anchor: Column, base: Column, drop_same_page: bool) -> Column:
-    href = H.attribute(anchor, "href")
-    return F.struct(
-        U.resolve_on(base, href, drop_same_page).alias("url"),
-        H.text_of(anchor).alias("anchor"),
-        H.attribute(anchor, "rel").alias("rel"),
-        H.attribute(anchor, "class").alias("css_class"),
+    values = bind(
+        H.attributes(anchor),
+        lambda a: decode_all(
+            F.array(*(H.attribute_value(a, name) for name in ("href", "rel", "class"))),
+            attribute=True,
+        ),
+    )
+    return bind(
+        values,
+        lambda v: F.struct(
+            U.resolve_on(base, v[0], drop_same_page).alias("url"),
+            H.text_of(anchor).alias("anchor"),
+            v[1].alias("rel"),
+            v[2].alias("css_class"),
+        ),
     )
 
 
