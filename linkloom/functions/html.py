@@ -90,13 +90,10 @@ def mark_tags(html: Column) -> Column:
     """
     marks = F.contains(html, F.lit(TAG_MARK)) | F.contains(html, F.lit(SPLIT_MARK))
     unmarked = F.when(marks, F.translate(html, TAG_MARK + SPLIT_MARK, "��")).otherwise(html)
-    lines = bind(
-        unmarked,
-        lambda h: F.when(
-            F.contains(h, F.lit("\r")),
-            F.replace(F.replace(h, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")),
-        ).otherwise(h),
-    )
+    lines = F.when(
+        F.contains(html, F.lit("\r")),
+        F.replace(F.replace(unmarked, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")),
+    ).otherwise(unmarked)
     return F.regexp_replace(lines, _TOKENS, TAG_MARK + "$1$3$4$5")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 SIMILAR_LIMIT = 5
-# Shares into which the pages of a much-copied hash are split for the join with its list.
-SALTS = 16
+# Shares into which the pages of a much-copied hash are split.
+SALTS = 64
+LIST_SALTS = 16
 
 
 def drop_duplicate_content(captures: DataFrame) -> DataFrame:
@@ -28,6 +29,28 @@ def drop_duplicate_content(captures: DataFrame) -> DataFrame:
     )
 
 
+def mark_first(rows: DataFrame, group: str) -> DataFrame:
+    """Add ``is_first``: the row is the first of its group in the order depth, highest priority,
+    ``seq``, URL.
+
+    Unlike :func:`drop_duplicate_content` this keeps every row, without joining the table with
+    itself. A group is ranked in two steps: within each of ``SALTS`` shares, then among the
+    firsts of the shares. The other rows stay in their shares for the second step, so no task
+    sees more than a share of a large group.
+    """
+    order = [F.col("depth"), F.col("priority").desc(), F.col("seq"), F.col("url")]
+    salt = F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int")
+    in_share = F.row_number().over(Window.partitionBy(group, "_salt").orderBy(*order))
+    overall = F.row_number().over(Window.partitionBy(group, "_share").orderBy(*order))
+    return (
+        rows.withColumn("_salt", salt)
+        .withColumn("_leads", in_share == 1)
+        .withColumn("_share", F.when(F.col("_leads"), -1).otherwise(F.col("_salt")))
+        .withColumn("is_first", F.col("_leads") & (overall == 1))
+        .drop("_salt", "_leads", "_share")
+    )
+
+
 def similar_by_hash(pages: DataFrame, content_hash: str, k: int = SIMILAR_LIMIT) -> DataFrame:
     """At most ``k`` pages with the given hash, smallest ids first."""
     return (
@@ -45,7 +68,7 @@ def similar_content(pages: DataFrame, k: int = SIMILAR_LIMIT) -> DataFrame:
     are never formed. Groups are cut to ``k + 2`` rows on the map side (Spark's window group
     limit), which tells small groups from large ones: a small group is wholly in its list and
     answers for itself. Only the pages of large groups are joined with their list, on hash and
-    salt, so one hash with a third of all pages is spread over ``SALTS`` partitions, which
+    salt, so one hash with a third of all pages is spread over ``LIST_SALTS`` partitions, which
     AQE may split further.
     """
     rows = pages.select("page_id", "url", "title", "hash").filter(F.col("hash").isNotNull())
@@ -62,12 +85,12 @@ def similar_content(pages: DataFrame, k: int = SIMILAR_LIMIT) -> DataFrame:
         "hash", "members", F.explode("members.page_id").alias("probe_id")
     )
     large = lists.filter(~small).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(LIST_SALTS - 1)))
     )
     probes = rows.select(
         F.col("page_id").alias("probe_id"),
         "hash",
-        F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int").alias("salt"),
+        F.pmod(F.xxhash64("page_id"), F.lit(LIST_SALTS)).cast("int").alias("salt"),
     )
     joined = probes.join(large, ["hash", "salt"]).select("hash", "members", "probe_id")
     others = F.slice(

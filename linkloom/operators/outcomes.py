@@ -9,7 +9,7 @@ from ..schemas import (
     ALREADY_CRAWLED, DUPLICATE, ERROR, FETCH_FAILED, IRRELEVANT_TYPE, NOT_CAPTURED, PROCESSED,
     SKIPPED,
 )
-from .dedup import drop_duplicate_content
+from .dedup import mark_first
 
 
 def drop_irrelevant(captures: DataFrame) -> DataFrame:
@@ -35,8 +35,8 @@ def classify_outcomes(facts: DataFrame, pages: DataFrame) -> DataFrame:
     depth, priority, seq``; a ``captured`` flag marks rows without any capture. The tests apply in
     that order, and only rows that pass the first three compete for a content hash.
 
-    Each join is on the URL, which is unique on both sides, so no join can be skewed; repeated
-    URLs and repeated hashes are combined before their shuffles.
+    The captures are read once. Repeated URLs are combined before their shuffle, the join is on
+    URLs that are unique on both sides, and a hash shared by very many URLs is split by salt.
     """
     if "captured" not in facts.columns:
         facts = facts.withColumn("captured", F.lit(True))
@@ -53,14 +53,11 @@ def classify_outcomes(facts: DataFrame, pages: DataFrame) -> DataFrame:
         .when(~F.col("fetched"), FETCH_FAILED)
         .when(~is_relevant_content(F.col("content_type")), IRRELEVANT_TYPE),
     )
-    competing = flagged.filter(F.col("_reason").isNull()).select(
-        "hash", "depth", "priority", "seq", "url"
-    )
-    winners = drop_duplicate_content(competing).select("url").withColumn("_first", F.lit(True))
-    reason = F.coalesce(
-        F.col("_reason"), F.when(F.col("_first").isNull(), F.lit(DUPLICATE))
-    )
-    decided = flagged.join(winners, "url", "left").withColumn("reason", reason)
+    # Rows out of the competition form groups of their own.
+    group = F.when(F.col("_reason").isNull(), F.col("hash")).otherwise(F.col("url"))
+    marked = mark_first(flagged.withColumn("_group", group), "_group")
+    reason = F.coalesce(F.col("_reason"), F.when(~F.col("is_first"), F.lit(DUPLICATE)))
+    decided = marked.withColumn("reason", reason)
     outcome = (
         F.when(F.col("reason").isNull(), PROCESSED)
         .when(F.col("reason").isin(NOT_CAPTURED, FETCH_FAILED), ERROR)
