@@ -9,48 +9,52 @@ from .bind import bind
 # Byte units in steps of 1024, and the text for a missing ratio.
 BYTE_UNITS = "KMGTPE"
 NOT_AVAILABLE = "N/A"
+# From here on doubles have no fraction.
+_ALL_INTEGERS = float(2**53)
 
 
 def one_decimal(value: Column) -> Column:
     """A non-negative double with one decimal, rounded on its exact binary value.
 
     Spark's formatter rounds the shortest decimal text half up, which turns 0.35 (in binary just
-    below) into 0.4 and the tie 1.25 into 1.3; the C rule gives 0.3 and 1.2. Ten times the fraction
-    is computed here as an exact sum of two doubles, so the comparison with a half is exact.
+    below) into 0.4 and the tie 1.25 into 1.3; the C rule gives 0.3 and 1.2. Rounding ten times
+    the value half to even differs from that only where the product falls on a half by its own
+    rounding; there the rounding error of the product decides.
     """
 
-    def tenths(v: Column) -> Column:
-        whole = F.floor(v.cast("double")).cast("double")
-        high, low = (v - whole) * 8.0, (v - whole) * 2.0
-        total = high + low
-        back = total - high
-        rest = (high - (total - back)) + (low - back)
-        return F.struct(whole.alias("whole"), total.alias("total"), rest.alias("rest"))
-
-    def rounded(t: Column) -> Column:
-        down = F.floor(t.total).cast("long")
-        above = (t.total - down.cast("double") - 0.5) + t.rest
-        up = (above > 0) | ((above == 0) & (down % 2 == 1))
-        digit = down + F.when(up, 1).otherwise(0)
-        whole = t.whole.cast("decimal(38,0)") + F.when(digit == 10, 1).otherwise(0)
-        return F.concat(
-            whole.cast("decimal(38,0)").cast("string"), F.lit("."), (digit % 10).cast("string")
-        )
-
-    return bind(bind(value.cast("double"), tenths), rounded)
+    def rounded(v: Column) -> Column:
+        eight, two = v * 8.0, v * 2.0
+        ten = eight + two
+        added = ten - eight
+        error = (eight - (ten - added)) + (two - added)
+        below = F.floor(ten).cast("double")
+        nearest = F.when(
+            (ten - below == 0.5) & (error != 0.0),
+            F.when(error > 0.0, below + 1.0).otherwise(below),
+        ).otherwise(F.rint(ten))
+        tenths = nearest.cast("long")
+        return F.when(
+            v < _ALL_INTEGERS,
+            F.concat(
+                F.call_function("div", tenths, F.lit(10)).cast("string"),
+                F.lit("."),
+                (tenths % 10).cast("string"),
+            ),
+        ).otherwise(F.concat(v.cast("decimal(38,0)").cast("string"), F.lit(".0")))
+
+    return bind(value.cast("double"), rounded)
 
 
 def format_bytes(n: Column) -> Column:
     """``1023 B``, ``1.5 KB``, ...: the largest unit that leaves at least 1, one decimal."""
     size = n.cast("long")
-    text = F.concat(size.cast("string"), F.lit(" B"))
-    for power, unit in enumerate(BYTE_UNITS, start=1):
-        step = 1024**power
-        scaled = size.cast("double") / F.lit(float(step))
-        text = F.when(
-            size >= F.lit(step), F.concat(one_decimal(scaled), F.lit(f" {unit}B"))
-        ).otherwise(text)
-    return text
+    scaled, unit = size.cast("double"), F.lit("B")
+    for power, letter in enumerate(BYTE_UNITS, start=1):
+        fits = size >= F.lit(1024**power)
+        scaled = F.when(fits, size.cast("double") / F.lit(float(1024**power))).otherwise(scaled)
+        unit = F.when(fits, F.lit(letter + "B")).otherwise(unit)
+    number = F.when(size < 1024, size.cast("string")).otherwise(one_decimal(scaled))
+    return F.concat(number, F.lit(" "), unit)
 
 
 def improvement_pct(base: Column, new: Column) -> Column:

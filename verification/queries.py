@@ -11,7 +11,7 @@ from linkloom.operators import content, dedup, frontier as FR, links as L, outco
 from linkloom.operators import pages as P
 from linkloom.plans import bfs, expand, reports
 from linkloom.session import scratch_path
-from linkloom.sources.captures import captured_pages as as_captures
+from linkloom.sources.captures import captured_pages as as_captures, spread
 from linkloom.sources.tables import read_table, write_table
 from linkloom.streaming import streams
 
@@ -470,7 +470,7 @@ def improvement(spark, sf_dir):
 @query
 def format_bytes(spark, sf_dir):
     """Order prices as byte counts, from bytes to exabytes, with ties of the last decimal."""
-    orders = I.table(spark, sf_dir, "orders")
+    orders = spread(I.table(spark, sf_dir, "orders"))
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     sizes = F.array(
         cents % 1100, cents, cents * 256, cents * 1024 * 1024, cents * 1_000_003,
@@ -496,7 +496,7 @@ def quality_report(spark, sf_dir):
         F.col("doc_id").alias("page_id"), F.col("text").alias("html")
     )
     report = reports.quality_report(
-        content.with_features(content.marked_pages(documents)).select("hash", "content_quality")
+        content.with_features(content.marked_pages(spread(documents))).select("hash", "content_quality")
     )
     return report.select(
         "pages", "distinct_bodies",
