@@ -25,7 +25,7 @@ _LEGAL = r"A-Za-z0-9\-_.~!$&'()*+,;=:@/\[\]%"
 _PATH_KEPT = r"A-Za-z0-9\-_.~$&+,/:;=@"
 _FRAGMENT_KEPT = _PATH_KEPT + r"?!()*"
 
-_HOST_CHARS = r"(?:[A-Za-z0-9\-_.~!$&'()*+,;=<>\"\[\]]|[^\x00-\x7F]|%[89A-Fa-f][0-9A-Fa-f])*+"
+_HOST_CHARS = r"(?:[A-Za-z0-9\-_.~!$&'()*+,;=<>\"]|[^\x00-\x7F]|%[89A-Fa-f][0-9A-Fa-f])*+"
 _AUTHORITY = rf"(?:[A-Za-z0-9\-._:~!$&'()*+,;=%@]*@)?(?:\[[^\]/?#]*\]|{_HOST_CHARS})(?::[0-9]*)?"
 _ESCAPES_OK = r"(?:[^%]++|%[0-9A-Fa-f]{2})*+"
 
