@@ -13,6 +13,14 @@ NOT_AVAILABLE = "N/A"
 _ALL_INTEGERS = float(2**53)
 
 
+def _whole(v: Column) -> Column:
+    """Exact digits of a double without fraction, up to 2**74."""
+    blocks = (v / F.lit(2048.0)).cast("long").cast("decimal(20,0)") * F.lit(2048)
+    return F.when(v < float(2**63), v.cast("long").cast("string")).otherwise(
+        blocks.cast("decimal(38,0)").cast("string")
+    )
+
+
 def one_decimal(value: Column) -> Column:
     """A non-negative double with one decimal, rounded on its exact binary value.
 
@@ -40,7 +48,7 @@ def one_decimal(value: Column) -> Column:
                 F.lit("."),
                 (tenths % 10).cast("string"),
             ),
-        ).otherwise(F.concat(v.cast("decimal(38,0)").cast("string"), F.lit(".0")))
+        ).otherwise(F.concat(_whole(v), F.lit(".0")))
 
     return bind(value.cast("double"), rounded)
 

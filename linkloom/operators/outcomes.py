@@ -28,12 +28,15 @@ def capture_facts(captures: DataFrame) -> DataFrame:
     ).drop("html")
 
 
-def classify_outcomes(facts: DataFrame, pages: DataFrame) -> DataFrame:
+def classify_outcomes(
+    facts: DataFrame, pages: DataFrame, seen: DataFrame | None = None
+) -> DataFrame:
     """One outcome per URL: crawled before, failed, irrelevant, duplicate or processed.
 
     ``facts`` has ``url, hash, size, fetched, content_type, load_time_ms, captured_at, strategy,
     depth, priority, seq``; a ``captured`` flag marks rows without any capture. The tests apply in
-    that order, and only rows that pass the first three compete for a content hash.
+    that order, and only rows that pass the first three compete for a content hash. Hashes in
+    ``seen`` were processed earlier in the same crawl and beat all others.
 
     The captures are read once. Repeated URLs are combined before their shuffle, the join is on
     URLs that are unique on both sides, and a hash shared by very many URLs is split by salt.
@@ -55,7 +58,14 @@ def classify_outcomes(facts: DataFrame, pages: DataFrame) -> DataFrame:
     )
     # Rows out of the competition form groups of their own.
     group = F.when(F.col("_reason").isNull(), F.col("hash")).otherwise(F.col("url"))
-    marked = mark_first(flagged.withColumn("_group", group), "_group")
+    competing = flagged.withColumn("_group", group).withColumn("_earlier", F.lit(False))
+    if seen is not None:
+        earlier = seen.select(
+            F.col("hash").alias("_group"), F.lit(-1).alias("depth"), F.lit("").alias("url"),
+            F.lit(True).alias("_earlier"),
+        )
+        competing = competing.unionByName(earlier, allowMissingColumns=True)
+    marked = mark_first(competing, "_group").filter(~F.col("_earlier"))
     reason = F.coalesce(F.col("_reason"), F.when(~F.col("is_first"), F.lit(DUPLICATE)))
     decided = marked.withColumn("reason", reason)
     outcome = (

@@ -21,11 +21,16 @@ STRATEGY = "smart"
 
 @dataclass(frozen=True)
 class CrawlState:
-    """Tables that one round hands to the next."""
+    """Tables that one round hands to the next.
+
+    ``seen`` has the content hashes processed so far in this crawl; pages stored before it
+    do not count.
+    """
 
     frontier: DataFrame
     pages: DataFrame
     outcomes: DataFrame | None = None
+    seen: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -75,7 +80,7 @@ def expand_frontier(
         )
     )
     facts = cut_lineage(facts)
-    outcomes = classify_outcomes(facts, state.pages)
+    outcomes = classify_outcomes(facts, state.pages, state.seen)
     outcomes = cut_lineage(outcomes.select(*OUTCOMES.fieldNames()))
     stored = facts.join(
         outcomes.filter(F.col("outcome") == PROCESSED).select("url"), "url", "left_semi"
@@ -89,7 +94,9 @@ def expand_frontier(
     )
     queued = add_to_frontier(state.frontier, frontier_rows(links, seq, at))
     frontier = mark_processed(queued, batch)
-    return CrawlState(cut_lineage(frontier), cut_lineage(pages), outcomes)
+    hashes = stored.select("hash")
+    seen = cut_lineage(hashes if state.seen is None else state.seen.unionByName(hashes))
+    return CrawlState(cut_lineage(frontier), cut_lineage(pages), outcomes, seen)
 
 
 def crawl(
@@ -109,4 +116,4 @@ def crawl(
             break
         tagged = state.outcomes.withColumn("round", F.lit(number))
         collected = tagged if collected is None else collected.unionByName(tagged)
-    return CrawlState(state.frontier, state.pages, collected)
+    return CrawlState(state.frontier, state.pages, collected, state.seen)

@@ -126,6 +126,14 @@ def test_stored_failed_and_duplicate_pages(spark):
     assert state.frontier.count() == 4
 
 
+def test_a_body_of_an_earlier_round_is_a_duplicate(spark):
+    state = _crawl(spark, ["http://h/d", "http://h/e"], k=1)
+    assert _outcomes(state) == {
+        (1, "http://h/d", "processed", None),
+        (2, "http://h/e", "skipped", "duplicate_content"),
+    }
+
+
 def test_depth_limit(spark):
     state = _crawl(spark, ["http://h/"], max_depth=1)
     assert {r.url for r in state.pages.collect()} == {"http://h/", "http://h/news/a", "http://h/b"}
