@@ -9,16 +9,13 @@ from .bind import bind
 # Byte units in steps of 1024, and the text for a missing ratio.
 BYTE_UNITS = "KMGTPE"
 NOT_AVAILABLE = "N/A"
-# From here on doubles have no fraction.
-_ALL_INTEGERS = float(2**53)
+_BEYOND_LONG = float(2**63)
 
 
-def _whole(v: Column) -> Column:
-    """Exact digits of a double without fraction, up to 2**74."""
+def _large(v: Column) -> Column:
+    """Digits of a double from 2**63 to 2**74; those are multiples of 2048."""
     blocks = (v / F.lit(2048.0)).cast("long").cast("decimal(20,0)") * F.lit(2048)
-    return F.when(v < float(2**63), v.cast("long").cast("string")).otherwise(
-        blocks.cast("decimal(38,0)").cast("string")
-    )
+    return blocks.cast("decimal(38,0)").cast("string")
 
 
 def one_decimal(value: Column) -> Column:
@@ -31,7 +28,9 @@ def one_decimal(value: Column) -> Column:
     """
 
     def rounded(v: Column) -> Column:
-        eight, two = v * 8.0, v * 2.0
+        whole = F.floor(v)
+        part = v - whole.cast("double")
+        eight, two = part * 8.0, part * 2.0
         ten = eight + two
         added = ten - eight
         error = (eight - (ten - added)) + (two - added)
@@ -40,15 +39,11 @@ def one_decimal(value: Column) -> Column:
             (ten - below == 0.5) & (error != 0.0),
             F.when(error > 0.0, below + 1.0).otherwise(below),
         ).otherwise(F.rint(ten))
-        tenths = nearest.cast("long")
+        carry = F.when(nearest == 10.0, 1).otherwise(0)
+        digit = (nearest.cast("int") % 10).cast("string")
         return F.when(
-            v < _ALL_INTEGERS,
-            F.concat(
-                F.call_function("div", tenths, F.lit(10)).cast("string"),
-                F.lit("."),
-                (tenths % 10).cast("string"),
-            ),
-        ).otherwise(F.concat(_whole(v), F.lit(".0")))
+            v < _BEYOND_LONG, F.concat((whole + carry).cast("string"), F.lit("."), digit)
+        ).otherwise(F.concat(_large(v), F.lit(".0")))
 
     return bind(value.cast("double"), rounded)
 

@@ -101,6 +101,7 @@ def test_bytes(evaluate):
 def test_one_decimal_rounds_the_exact_value(evaluate):
     rng = random.Random(8)
     values = [rng.random() * 10 ** rng.randint(-3, 9) for _ in range(3000)]
-    values += [i / 20 for i in range(400)] + [i / 4 for i in range(50)] + [0.0, 2.0**60, 1e15, 2.0**63 * 100, 2.0**53 - 1]
+    values += [i / 20 for i in range(400)] + [i / 4 for i in range(50)]
+    values += [0.0, 2.0**60, 1e15, 2.0**63 * 100, 2.0**53 - 1, 2.0**50 + 0.25, 9.96, 99.95]
     got = evaluate([(v,) for v in values], "v double", R.one_decimal(F.col("v")))
     assert got == [f"{v:.1f}" for v in values]
