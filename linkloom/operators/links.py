@@ -11,6 +11,10 @@ from ..schemas import PENDING
 from .content import marked_pages, with_features
 
 
+# Columns of a page that its links inherit from.
+PAGE_CONTEXT = ["url", "depth", "importance", "link_density"]
+
+
 def _link(anchor: Column, base: Column, drop_same_page: bool) -> Column:
     values = bind(
         H.attributes(anchor),
@@ -30,19 +34,23 @@ def _link(anchor: Column, base: Column, drop_same_page: bool) -> Column:
     )
 
 
-def _exploded(marked: DataFrame, keep: list[str], drop_same_page: bool) -> DataFrame:
-    """One row per resolvable ``a[href]`` in document order; the page text ends here.
+def link_array(drop_same_page: bool) -> Column:
+    """Links of a marked page (columns ``url`` and ``marked``) in document order.
 
-    Links are built inside the array, before it is exploded: a later filter on the link URL then
-    tests a finished value and cannot make Spark resolve it a second time.
+    Links are finished inside the array, before it is exploded: a later filter on the link URL
+    then tests a value and cannot make Spark resolve it a second time.
     """
-    links = bind(
+    return bind(
         U.parse_url(F.col("url")),
         lambda base: F.transform(
             H.anchors_of(F.col("marked")), lambda a: _link(a, base, drop_same_page)
         ),
     )
-    rows = marked.select(*keep, F.posexplode(links).alias("pos", "link"))
+
+
+def explode_links(pages: DataFrame, links: Column, keep: list[str]) -> DataFrame:
+    """One row per link that could be resolved; the page text ends here."""
+    rows = pages.select(*keep, F.posexplode(links).alias("pos", "link"))
     return rows.filter(F.col("link.url").isNotNull())
 
 
@@ -52,7 +60,7 @@ def extract_links(captures: DataFrame) -> DataFrame:
     Keeps the columns of ``captures`` except the page text; ``source_url`` is the page.
     """
     keep = [c for c in captures.columns if c != "html"]
-    links = _exploded(marked_pages(captures), keep, drop_same_page=False)
+    links = explode_links(marked_pages(captures), link_array(drop_same_page=False), keep)
     return links.withColumnRenamed("url", "source_url").select(
         *[c for c in keep if c != "url"], "source_url", "pos",
         F.col("link.url").alias("url"), F.col("link.anchor").alias("anchor"),
@@ -68,9 +76,8 @@ def extract_scored_links(captures: DataFrame) -> DataFrame:
     """
     if "depth" not in captures.columns:
         captures = captures.withColumn("depth", F.lit(0))
-    keep = ["url", "depth", "importance", "link_density"]
-    pages = with_features(marked_pages(captures)).select(*keep, "marked")
-    return score_links(_exploded(pages, keep, drop_same_page=True))
+    pages = with_features(marked_pages(captures)).select(*PAGE_CONTEXT, "marked")
+    return score_links(explode_links(pages, link_array(drop_same_page=True), PAGE_CONTEXT))
 
 
 def score_links(links: DataFrame) -> DataFrame:

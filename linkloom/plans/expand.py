@@ -10,7 +10,7 @@ from ..operators.content import marked_pages, with_features
 from ..operators.frontier import (
     add_to_frontier, frontier_rows, mark_processed, next_urls, within_depth,
 )
-from ..operators.links import extract_scored_links
+from ..operators.links import PAGE_CONTEXT, explode_links, link_array, score_links
 from ..operators.outcomes import classify_outcomes
 from ..operators.pages import page_rows, upsert_pages
 from ..schemas import OUTCOMES, PROCESSED
@@ -50,12 +50,17 @@ def prepare_site(captures: DataFrame) -> CapturedSite:
 
     ``captures`` has one row per URL; a NULL ``html`` is a failed fetch.
     """
-    facts = (
-        with_features(marked_pages(captures))
-        .withColumns({"fetched": F.col("html").isNotNull(), "captured": F.lit(True)})
-        .drop("html", "marked")
+    analyzed = with_features(marked_pages(captures)).withColumns(
+        {
+            "depth": F.lit(0),
+            "fetched": F.col("html").isNotNull(),
+            "captured": F.lit(True),
+            "links": link_array(drop_same_page=True),
+        }
     )
-    return CapturedSite(cut_lineage(facts), cut_lineage(extract_scored_links(captures)))
+    pages = cut_lineage(analyzed.drop("html", "marked"))
+    links = score_links(explode_links(pages, F.col("links"), PAGE_CONTEXT))
+    return CapturedSite(pages.drop("links", "depth"), cut_lineage(links))
 
 
 def expand_frontier(
