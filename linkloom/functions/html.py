@@ -24,8 +24,11 @@ from pyspark.sql import Column, functions as F
 from .bind import bind
 from .entities import decode_entities
 
-TAG_MARK = "\uFFFE"
-SPLIT_MARK = "\uFFFF"
+# Control characters keep plain-ASCII pages in the JVM's one-byte strings, which regexes run
+# over several times faster.
+TAG_MARK = "\x01"
+SPLIT_MARK = "\x02"
+_NOT_A_MARK = "\x7F"
 
 _ATTRS = (
     r"""(?:[^=>]++|=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s"'>][^\s>]*+)?+)*+"""
@@ -86,10 +89,12 @@ def mark_tags(html: Column) -> Column:
     """Page with comments removed and :data:`TAG_MARK` before every tag.
 
     Line ends become ``\\n`` as in HTML parsing; stray marker characters in the input turn
-    into U+FFFD, which has the same byte length.
+    into another control character of the same byte length.
     """
     marks = F.contains(html, F.lit(TAG_MARK)) | F.contains(html, F.lit(SPLIT_MARK))
-    unmarked = F.when(marks, F.translate(html, TAG_MARK + SPLIT_MARK, "��")).otherwise(html)
+    unmarked = F.when(
+        marks, F.translate(html, TAG_MARK + SPLIT_MARK, _NOT_A_MARK * 2)
+    ).otherwise(html)
     lines = F.when(
         F.contains(html, F.lit("\r")),
         F.replace(F.replace(unmarked, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")),
