@@ -191,11 +191,6 @@ def attribute_value(attrs: Column, name: str) -> Column:
     return F.regexp_replace(value, r"""(?s)\A(["'])(.*?)(?:\1|\z)""", "$2")
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Decoded value of attribute ``name`` of the tag that ``tag`` starts with."""
-    return decode_entities(attribute_value(attributes(tag), name), attribute=True)
-
-
 def has_attribute_value(marked: Column, element: str, name: str, value: str) -> Column:
     """Some ``element`` has attribute ``name`` equal to ``value`` (case-sensitive)."""
     tags = F.regexp_extract_all(
