@@ -43,6 +43,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written once to a Parquet table in the shared folder and read back, and the table's path."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table; a missing one is no error."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Same rows, backed by a reliable checkpoint instead of their history."""
     spark = df.sparkSession
