@@ -298,3 +298,14 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_DOC
             yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), **{k: pa.array(v) for k, v in out.items()}})
 
     return docs.select("doc_id", "text").mapInArrow(label, SCHEMA)
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_DOCS, min_content: float = MIN_CONTENT) -> DataFrame:
+    """The rows of ``docs``, all columns, that :func:`quality_rules` keeps. Filters where the rows are read: no shuffle."""
+    model = fit_field(sample_lines(docs, labels, max_docs))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield batch.filter(pa.array(judge(texts_of(batch.column("text")), model, min_content)["kept"]))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import pieces, quality_crf, secrets
+from linkloom.llm import decontaminate, near_dup, pieces, quality_crf, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,14 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), size=4)
+
+
 def piece_digests(docs: DataFrame) -> DataFrame:
     encoded = pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return encoded.select(
@@ -41,6 +49,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_secret_scan": op3_secret_scan,
+    "op4_decontamination": op4_decontamination,
+    "op5_near_duplicates": op5_near_duplicates,
     "op10_sentencepiece": op10_sentencepiece,
 }
 

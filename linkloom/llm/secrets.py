@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from linkloom.llm.textcols import runs, slices, texts_of
+from linkloom.llm.textcols import Texts, runs, slices, texts_of
 
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 2.0
@@ -27,6 +27,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX_MIN, ACCESS_MIN, ASSIGN_MIN = 16, 18, 12
+_HEX = np.isin(np.arange(256), list(b"0123456789abcdef"))
 
 #: A pair starts with a name, quoted or not, with an optional declaration word before it; then ``=``, ``:=``, ``=>``, ``:`` or a
 #: blank after a long option; then a value: literals or names joined by ``+`` or ``.``.
@@ -132,6 +133,20 @@ def lexed_spans(text: str) -> list[tuple[int, int, float]]:
     return out
 
 
+def hex_runs(texts: Texts) -> dict[int, list[tuple[int, int]]]:
+    """Runs of HEX_MIN or more lower-case hexadecimal digits of each text that has any, in code points."""
+    starts, ends = runs(_HEX[texts.data], texts.bounds)
+    long = ends - starts >= HEX_MIN
+    starts, ends = starts[long], ends[long]
+    points = np.zeros(len(texts.data) + 1, np.int64)
+    np.cumsum((texts.data & 0xC0) != 0x80, out=points[1:])
+    found: dict[int, list[tuple[int, int]]] = {}
+    for i, s, e in zip(texts.owner(starts).tolist(), starts.tolist(), ends.tolist()):
+        begin = points[texts.bounds[i]]
+        found.setdefault(i, []).append((int(points[s] - begin), int(points[e] - begin)))
+    return found
+
+
 def spans(text: str, hexes: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind, end) of a text in the order of the report; ``hexes``: its runs of hexadecimal digits."""
     found = [(s, 2, e) for s, e in hexes]
@@ -157,21 +172,10 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     Null counts as empty and has no spans; repeated rows are scanned one by one; other columns are ignored.
     ``spans`` is empty if nothing is found, and ``base_sha256`` is then the hash of the empty text.
     """
-    digits = np.zeros(256, bool)
-    digits[list(b"0123456789abcdef")] = True
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts = texts_of(batch.column("text"))
-            starts, ends = runs(digits[texts.data], texts.bounds)
-            long = ends - starts >= HEX_MIN
-            starts, ends = starts[long], ends[long]
-            inner = np.zeros(len(texts.data) + 1, np.int64)
-            np.cumsum((texts.data & 0xC0) != 0x80, out=inner[1:])
-            hexes: dict[int, list[tuple[int, int]]] = {}
-            for i, s, e in zip(texts.owner(starts).tolist(), starts.tolist(), ends.tolist()):
-                begin = inner[texts.bounds[i]]
-                hexes.setdefault(i, []).append((int(inner[s] - begin), int(inner[e] - begin)))
+            hexes = hex_runs(texts_of(batch.column("text")))
             rows: dict[str, list] = {k: [] for k in ("n_assign", "n_access", "n_hex", "n_literal", "base_sha256", "spans")}
             for i, text in enumerate(batch.column("text").to_pylist()):
                 found = spans(text or "", hexes.get(i, []))
@@ -193,3 +197,26 @@ def redact(text: str, found: str, mark: str = "[secret]") -> str:
             out += [text[at:s], mark]
         at = max(at, e)
     return "".join([*out, text[at:]])
+
+
+def redact_secrets(docs: DataFrame) -> DataFrame:
+    """All rows and columns of ``docs``; texts with secrets have them cut out and ``n_chars``, if there, recounted."""
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            texts = batch.column("text").to_pylist()
+            hexes = hex_runs(texts_of(batch.column("text")))
+            changed = {}
+            for i, text in enumerate(texts):
+                if found := spans(text or "", hexes.get(i, [])):
+                    changed[i] = redact(text, render(found))
+            if changed:
+                columns = dict(zip(batch.schema.names, batch.columns))
+                columns["text"] = pa.array([changed.get(i, t) for i, t in enumerate(texts)], batch.schema.field("text").type)
+                if "n_chars" in columns:
+                    sizes = columns["n_chars"].to_pylist()
+                    columns["n_chars"] = pa.array([len(changed[i]) if i in changed else n for i, n in enumerate(sizes)], batch.schema.field("n_chars").type)
+                batch = pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)
+            yield batch
+
+    return docs.mapInArrow(clean, docs.schema)
