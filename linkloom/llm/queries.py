@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, near_dup, pieces, quality_crf, secrets
+from linkloom.llm import decontaminate, near_dup, pieces, quality_crf, secrets, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,31 @@ def piece_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_store.shared_uri(spark, "tokens")
+    manifest = token_store.write_shards(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
+    return token_store.read_shards(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(_table(spark, sf_dir, "pages"), token_store.shared_uri(spark, "warc"))
+    records = warc.read_archives(manifest).select(
+        F.substring_index("record_id", ":", -1).cast("long").alias("page_id"),
+        F.octet_length("payload").cast("long").alias("own_bytes"),
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        F.substring_index("refers_to", ":", -1).cast("long").alias("refers_to"),
+        "error",
+    )
+    # A revisit's payload is that of the response it points to.
+    responses = records.where("record_type = 'response'").drop("refers_to").withColumn("payload_bytes", F.col("own_bytes"))
+    revisits = records.where("record_type = 'revisit'").drop("own_bytes").join(
+        responses.select(F.col("page_id").alias("refers_to"), F.col("own_bytes").alias("payload_bytes")), "refers_to", "left"
+    )
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error"]
+    return responses.withColumn("refers_to", F.lit(None).cast("long")).select(*columns).unionByName(revisits.select(*columns))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_decontamination": op4_decontamination,
     "op5_near_duplicates": op5_near_duplicates,
+    "op7_token_store": op7_token_store,
+    "op9_warc": op9_warc,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
