@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, near_dup, pieces, quality_crf, secrets, token_store, warc
+from linkloom.llm import decontaminate, language, near_dup, pieces, quality_crf, secrets, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_language(_table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_language_id": op2_language_id,
     "op3_secret_scan": op3_secret_scan,
     "op4_decontamination": op4_decontamination,
     "op5_near_duplicates": op5_near_duplicates,
