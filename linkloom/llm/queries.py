@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, language, near_dup, pieces, quality_crf, secrets, token_store, warc
+from linkloom.llm import decontaminate, language, masked_lm, near_dup, page_text, pieces, quality_crf, secrets, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,12 +46,21 @@ def piece_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page_text.extract_main_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_store.shared_uri(spark, "tokens")
     manifest = token_store.write_shards(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
     return token_store.read_shards(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(_table(spark, sf_dir, "pages"), token_store.shared_uri(spark, "warc"))
     records = warc.read_archives(manifest).select(
@@ -81,7 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_decontamination": op4_decontamination,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_main_text": op6_main_text,
     "op7_token_store": op7_token_store,
+    "op8_masked_lm": op8_masked_lm,
     "op9_warc": op9_warc,
     "op10_sentencepiece": op10_sentencepiece,
 }
