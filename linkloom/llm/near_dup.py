@@ -4,13 +4,15 @@
    hash in a bin is its value. Empty bins borrow the value of a non-empty bin chosen by a hash of (bin, attempt): optimal
    densification. ``ROWS`` bins make a band, a band's values make a bucket key.
 2. Texts with equal sets form one class, held by its smallest id, so copies never meet each other again.
-3. Within a bucket the class with the smallest id is the centre of a star: candidate edges lead from it to
-   the other members only, so a bucket of m classes has m - 1 edges, not m * m / 2.
-4. Edges are confirmed on full shingle sets and joined to components by minimum labels.
-5. A bucket whose members are still in different components is starred again from other centres, one, two, four,
-   ... of them a round, against members of other components, until no two members of a bucket are both
-   uncompared and apart. So no link between bucket mates is lost, and no bucket emits all its pairs
-   unless its members really are apart from each other.
+3. Candidate edges are stars. A class's centre is the class in its buckets that meets the most others (the original of
+   a family of edited copies, as a rule). Each class is compared with its own centre and with those of its bucket mates, so there are
+   about as many edges as classes, however large a bucket is.
+4. Comparing a class with a centre also gives their difference. Two bucket mates that are both linked to a common centre need no
+   test. If one, b, isn't, then its difference from the centre is so large that the other, a, can be linked to b only if they share
+   more than about half of a's difference: so among any other half of it, the rarest elements, there must be one that is in b's.
+   Pairs that meet in such an element are tested as well. This loses no link between bucket mates, and unrelated
+   edits of one original don't meet.
+5. All links are confirmed on full shingle sets and joined to components by minimum labels.
 
 With 32 bands of 4 bins a pair of similarity 0.8 shares no bucket with a probability of about 5e-8.
 """
@@ -23,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from linkloom.llm.textcols import Texts, mix, slices, texts_of, windows
 from linkloom.session import drop_path, stored
@@ -116,37 +119,76 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sketch, SKETCH)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose full sets have ``100 * intersection >= percent * union``."""
+def compared(pairs: DataFrame, docs: DataFrame, size: int, percent: int, differences: bool) -> DataFrame:
+    """Full comparison of the pairs (``a``, ``b``): ``linked``, that is ``100 * intersection >= percent * union``; and, if asked for, ``diff``,
+    the elements in one set only, and ``probe``: among any so many elements of it there is one in the difference of ``a`` and any class that
+    is linked to ``b`` but not to ``a``."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_id, last_set = None, None
+        last_id, centre = None, None
         for batch in slices(batches, "text_b"):
             a = batch.column("a").to_pylist()
-            fresh = [i for i, x in enumerate(a) if not i or x != a[i - 1]]  # rows come sorted by ``a``
+            fresh = [i for i, x in enumerate(a) if not i or x != a[i - 1]]  # rows of one ``a`` mostly come together
             sets = shingle_sets(texts_of(batch.column("text_a").take(pa.array(fresh))), size)
-            keep, k = [], -1
+            rows: dict[str, list] = {"linked": [], "diff": [], "probe": []}
+            k = -1
             for i, other in enumerate(shingle_sets(texts_of(batch.column("text_b")), size)):
                 if k + 1 < len(fresh) and fresh[k + 1] == i:
                     k += 1
                     if a[i] != last_id:
-                        last_id, last_set = a[i], sets[k]
-                small, large = sorted((len(last_set), len(other)))
-                if 100 * small < percent * large:
-                    keep.append(False)
-                    continue
-                both = len(np.intersect1d(last_set, other, assume_unique=True))
-                keep.append(100 * both >= percent * (small + large - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(test, "a long, b long")
+                        last_id, centre = a[i], sets[k]
+                both = np.intersect1d(centre, other, assume_unique=True)
+                diff = len(centre) + len(other) - 2 * len(both)
+                rows["linked"].append(100 * len(both) >= percent * (len(both) + diff))
+                if differences:
+                    rows["diff"].append(np.setxor1d(centre, other, assume_unique=True).view(np.int64))
+                    shared = ((100 + percent) * diff + (100 - percent) * (len(centre) - len(other))) // (2 * (100 + percent))
+                    rows["probe"].append(diff - shared)
+            columns = {"a": batch.column("a"), "b": batch.column("b"), "linked": pa.array(rows["linked"], pa.bool_())}
+            if differences:
+                columns |= {"diff": pa.array(rows["diff"], pa.list_(pa.int64())), "probe": pa.array(rows["probe"], pa.int32())}
+            yield pa.record_batch(columns)
+
+    schema = "a long, b long, linked boolean" + (", diff array<long>, probe int" if differences else "")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(test, schema)
+
+
+def star_edges(member: DataFrame) -> DataFrame:
+    """(``a``: centre, ``b``: class) for each class and the centres of its bucket mates, from (``bucket``, ``rep``)."""
+    size = member.groupBy("bucket").agg(F.count("*").alias("size"))
+    weight = member.join(size, "bucket").groupBy("rep").agg(F.sum("size").alias("weight"))
+    weighed = member.join(weight, "rep")
+    rank = F.struct("weight", (-F.col("rep")).alias("neg"))
+    lead = weighed.groupBy("bucket").agg(F.max(rank).alias("lead"))
+    centre = member.join(lead, "bucket").groupBy("rep").agg((-F.max("lead")["neg"]).alias("centre"))
+    near = member.join(centre, "rep").select("bucket", "centre").distinct()
+    return member.join(near, "bucket").where("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+
+
+def side_pairs(star: DataFrame) -> DataFrame:
+    """Pairs of classes around one centre that may be linked to each other though one isn't linked to the centre."""
+    element = star.select("a", "b", "linked", "probe", F.size("diff").alias("n"), F.explode("diff").alias("e"))
+    common = element.groupBy("a", "e").agg(F.count("*").alias("df")).where("df > 1")
+    element = element.drop("n", "probe").join(common, ["a", "e"])
+    quota = star.select("a", "b", "probe", F.size("diff").alias("n"))
+    own = Window.partitionBy("a", "b")
+    probe = (
+        element.join(quota, ["a", "b"])
+        .withColumn("place", F.row_number().over(own.orderBy("df", "e")))
+        .withColumn("known", F.count("*").over(own))
+        .where("place <= probe - (n - known)")  # elements that nobody shares are the rarest and take their places first
+        .select("a", "e", F.col("b").alias("one"))
+    )
+    outside = element.where("not linked").select("a", "e", F.col("b").alias("two"))
+    met = probe.join(outside, ["a", "e"]).where("one != two")
+    return met.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
 
 
-def components(spark: SparkSession, links: DataFrame, labels: DataFrame | None = None) -> tuple[DataFrame, str]:
+def components(spark: SparkSession, links: DataFrame) -> tuple[DataFrame, str]:
     """Smallest reachable id of every linked id: (``doc_id``, ``label``), stored.
 
     Each round takes the smallest label among the neighbours and then the label of that label, so a chain of n
@@ -186,38 +228,15 @@ def near_duplicates(docs: DataFrame, *, size: int = WORDS, percent: int = PERCEN
         sketch.where("bands is not null").groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes"
     )
     member = classes.select("rep", F.explode("bands").alias("bucket"))
-    shared = member.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last").select("bucket", "centre")
-    open_members, open_path = stored(member.join(shared, "bucket").select("bucket", "rep", "centre"), "members")
-    pairs = open_members.where("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    tested, tested_path = stored(pairs, "pairs")
-    links, link_path = stored(confirmed(tested, docs, size, percent), "links")
-    open_members, fans, used = open_members.where("rep != centre").select("bucket", "rep"), 1, [tested_path, open_path]
-    label, label_path = components(spark, links)
-    while True:
-        # Members with their components; a bucket in one component is settled.
-        placed = open_members.join(label.withColumnRenamed("doc_id", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label"))
-        apart = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-        placed, placed_path = stored(placed.join(apart, "bucket"), "members")
-        if placed.isEmpty():
-            break
-        share = F.pmod(F.xxhash64("rep", F.lit(fans)), F.lit(fans))
-        centre = placed.groupBy("bucket", share.alias("share")).agg(F.min_by(F.struct("rep", "label"), F.xxhash64("rep", F.lit(fans))).alias("c"))
-        centre, centre_path = stored(centre.select("bucket", F.col("c.rep").alias("centre"), F.col("c.label").alias("own")), "centres")
-        fresh = (
-            placed.join(centre, "bucket").where("rep != centre and label != own")
-            .select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
-        )
-        seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more, more_path = stored(fresh.join(seen, ["a", "b"], "left_anti"), "pairs")
-        found, found_path = stored(confirmed(more, docs, size, percent), "links")
-        links, tested = links.union(found), tested.union(more)
-        used += [more_path, found_path, placed_path, centre_path]
-        open_members = placed.join(centre.select("bucket", F.col("centre").alias("rep")), ["bucket", "rep"], "left_anti").select("bucket", "rep")
-        fans *= 2
-        if not found.isEmpty():
-            drop_path(spark, label_path)
-            label, label_path = components(spark, links)
-    for path in [*used, placed_path, link_path]:
+    full = member.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("bucket")
+    member, member_path = stored(member.join(full, "bucket"), "members")
+    edges, edge_path = stored(star_edges(member), "edges")
+    star, star_path = stored(compared(edges, docs, size, percent, True), "stars")
+    tested = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    side, side_path = stored(side_pairs(star).join(tested, ["a", "b"], "left_anti"), "pairs")
+    links = star.where("linked").select("a", "b").union(compared(side, docs, size, percent, False).where("linked").select("a", "b"))
+    label, _ = components(spark, links)
+    for path in (member_path, edge_path, star_path, side_path):
         drop_path(spark, path)
     place = classes.select(*sets, "rep").join(label.withColumnRenamed("doc_id", "rep"), "rep", "left").select(*sets, F.coalesce("label", "rep").alias("component_id"))
     one = sketch.groupBy("doc_id").agg(F.min(F.struct(*sets)).alias("s")).select("doc_id", "s.*")
