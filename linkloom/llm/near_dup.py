@@ -8,10 +8,10 @@
    a family of edited copies, as a rule). Each class is compared with its own centre and with those of its bucket mates, so there are
    about as many edges as classes, however large a bucket is.
 4. Comparing a class with a centre also gives their difference. Two bucket mates that are both linked to a common centre need no
-   test. If one, b, isn't, then its difference from the centre is so large that the other, a, can be linked to b only if they share
-   more than about half of a's difference: so among any other half of it, the rarest elements, there must be one that is in b's.
-   Pairs that meet in such an element are tested as well. This loses no link between bucket mates, and unrelated
-   edits of one original don't meet.
+   test. If one isn't, its difference from the centre is large, and the sizes of both differences and sets tell how much the differences
+   must have in common if the two are linked. Order the elements of differences by the number of classes that have them; then
+   the two must share an element among the first few of each (prefix filter). The first are those that nobody else
+   has, so unrelated edits of one original don't meet. Pairs that do meet are tested as well. This loses no link between bucket mates.
 5. All links are confirmed on full shingle sets and joined to components by minimum labels.
 
 With 32 bands of 4 bins a pair of similarity 0.8 shares no bucket with a probability of about 5e-8.
@@ -120,9 +120,9 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
 
 
 def compared(pairs: DataFrame, docs: DataFrame, size: int, percent: int, differences: bool) -> DataFrame:
-    """Full comparison of the pairs (``a``, ``b``): ``linked``, that is ``100 * intersection >= percent * union``; and, if asked for, ``diff``,
-    the elements in one set only, and ``probe``: among any so many elements of it there is one in the difference of ``a`` and any class that
-    is linked to ``b`` but not to ``a``."""
+    """Full comparison of the pairs (``a``, ``b``): ``linked``, that is ``100 * intersection >= percent * union``; and, if asked for, ``size``
+    of the set of ``b``, ``diff``, the elements in one set only, and ``probe``: a class that is linked to ``b`` but not to ``a`` has
+    one of the first so many of them in its own difference, in any order."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -134,7 +134,7 @@ def compared(pairs: DataFrame, docs: DataFrame, size: int, percent: int, differe
             a = batch.column("a").to_pylist()
             fresh = [i for i, x in enumerate(a) if not i or x != a[i - 1]]  # rows of one ``a`` mostly come together
             sets = shingle_sets(texts_of(batch.column("text_a").take(pa.array(fresh))), size)
-            rows: dict[str, list] = {"linked": [], "diff": [], "probe": []}
+            rows: dict[str, list] = {"linked": [], "size": [], "diff": [], "probe": []}
             k = -1
             for i, other in enumerate(shingle_sets(texts_of(batch.column("text_b")), size)):
                 if k + 1 < len(fresh) and fresh[k + 1] == i:
@@ -145,15 +145,16 @@ def compared(pairs: DataFrame, docs: DataFrame, size: int, percent: int, differe
                 diff = len(centre) + len(other) - 2 * len(both)
                 rows["linked"].append(100 * len(both) >= percent * (len(both) + diff))
                 if differences:
+                    rows["size"].append(len(other))
                     rows["diff"].append(np.setxor1d(centre, other, assume_unique=True).view(np.int64))
                     shared = ((100 + percent) * diff + (100 - percent) * (len(centre) - len(other))) // (2 * (100 + percent))
                     rows["probe"].append(diff - shared)
             columns = {"a": batch.column("a"), "b": batch.column("b"), "linked": pa.array(rows["linked"], pa.bool_())}
             if differences:
-                columns |= {"diff": pa.array(rows["diff"], pa.list_(pa.int64())), "probe": pa.array(rows["probe"], pa.int32())}
+                columns |= {"size": pa.array(rows["size"], pa.int32()), "diff": pa.array(rows["diff"], pa.list_(pa.int64())), "probe": pa.array(rows["probe"], pa.int32())}
             yield pa.record_batch(columns)
 
-    schema = "a long, b long, linked boolean" + (", diff array<long>, probe int" if differences else "")
+    schema = "a long, b long, linked boolean" + (", size int, diff array<long>, probe int" if differences else "")
     return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(test, schema)
 
 
@@ -169,23 +170,25 @@ def star_edges(member: DataFrame) -> DataFrame:
     return member.join(near, "bucket").where("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
 
 
-def side_pairs(star: DataFrame) -> DataFrame:
+def side_pairs(star: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes around one centre that may be linked to each other though one isn't linked to the centre."""
-    element = star.select("a", "b", "linked", "probe", F.size("diff").alias("n"), F.explode("diff").alias("e"))
+    measures = ["linked", "size", "probe", F.size("diff").alias("n")]
+    element = star.select("a", "b", F.explode("diff").alias("e"))
     common = element.groupBy("a", "e").agg(F.count("*").alias("df")).where("df > 1")
-    element = element.drop("n", "probe").join(common, ["a", "e"])
-    quota = star.select("a", "b", "probe", F.size("diff").alias("n"))
     own = Window.partitionBy("a", "b")
-    probe = (
-        element.join(quota, ["a", "b"])
-        .withColumn("place", F.row_number().over(own.orderBy("df", "e")))
-        .withColumn("known", F.count("*").over(own))
-        .where("place <= probe - (n - known)")  # elements that nobody shares are the rarest and take their places first
-        .select("a", "e", F.col("b").alias("one"))
+    placed = (
+        element.join(common, ["a", "e"]).join(star.select("a", "b", *measures), ["a", "b"])
+        # Elements that no other class has come first; they meet nothing and only take places.
+        .withColumn("place", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "e")))
     )
-    outside = element.where("not linked").select("a", "e", F.col("b").alias("two"))
-    met = probe.join(outside, ["a", "e"]).where("one != two")
-    return met.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
+    one = placed.where("place <= probe").select("a", "e", *(F.col(c).alias(f"{c}1") for c in ("b", "size", "n", "place")))
+    two = placed.where("not linked").select("a", "e", *(F.col(c).alias(f"{c}2") for c in ("b", "size", "n", "place")))
+    up, down = 100 + percent, 100 - percent
+    least = f"(({up} * (n1 + n2) - {down} * (size1 + size2) + {2 * up - 1}) div {2 * up})"  # what linked classes have in common
+    met = one.join(two, ["a", "e"]).where(
+        f"b1 != b2 and place1 <= n1 - {least} + 1 and place2 <= n2 - {least} + 1 and 100 * least(size1, size2) >= {percent} * greatest(size1, size2)"
+    )
+    return met.select(F.least("b1", "b2").alias("a"), F.greatest("b1", "b2").alias("b")).distinct()
 
 
 def components(spark: SparkSession, links: DataFrame) -> tuple[DataFrame, str]:
@@ -233,7 +236,7 @@ def near_duplicates(docs: DataFrame, *, size: int = WORDS, percent: int = PERCEN
     edges, edge_path = stored(star_edges(member), "edges")
     star, star_path = stored(compared(edges, docs, size, percent, True), "stars")
     tested = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    side, side_path = stored(side_pairs(star).join(tested, ["a", "b"], "left_anti"), "pairs")
+    side, side_path = stored(side_pairs(star, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
     links = star.where("linked").select("a", "b").union(compared(side, docs, size, percent, False).where("linked").select("a", "b"))
     label, _ = components(spark, links)
     for path in (member_path, edge_path, star_path, side_path):
