@@ -1,7 +1,7 @@
 """Content scores and link priority.
 
 All scores add double literals in a fixed order: 0.5 + 0.2 + 0.1 is 0.7999999999999999, and
-a twentieth of it truncates to 15, not 16.
+a twentieth of it truncates to 15, not 16. A page that was not fetched has no scores: they are NULL.
 """
 
 from __future__ import annotations
@@ -36,12 +36,14 @@ def content_quality(
         + _points(n_paragraphs > 3, 0.2)
         + _points(has_description, 0.1)
     )
-    return F.least(score, F.lit(1.0))
+    return F.when(text_len.isNotNull(), F.least(score, F.lit(1.0)))
 
 
 def link_density(link_text_len: Column, body_len: Column) -> Column:
     ratio = F.try_divide(link_text_len.cast("double"), body_len.cast("double"))
-    return F.when(body_len == 0, F.lit(0.0)).otherwise(F.least(ratio, F.lit(1.0)))
+    return F.when(body_len == 0, F.lit(0.0)).when(
+        body_len.isNotNull(), F.least(ratio, F.lit(1.0))
+    )
 
 
 def importance(
@@ -54,7 +56,7 @@ def importance(
         + _points(has_navigation, 0.1)
         + _points(has_social, 0.1)
     )
-    return F.least(score, F.lit(1.0))
+    return F.when(title_len.isNotNull(), F.least(score, F.lit(1.0)))
 
 
 def _bonus(condition: Column, points: int) -> Column:

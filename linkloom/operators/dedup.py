@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 SIMILAR_LIMIT = 5
-# Shares into which the pages of a much-copied hash are split.
-SALTS = 64
-LIST_SALTS = 16
 
 
 def drop_duplicate_content(captures: DataFrame) -> DataFrame:
@@ -29,28 +26,6 @@ def drop_duplicate_content(captures: DataFrame) -> DataFrame:
     )
 
 
-def mark_first(rows: DataFrame, group: str) -> DataFrame:
-    """Add ``is_first``: the row is the first of its group in the order depth, highest priority,
-    ``seq``, URL.
-
-    Unlike :func:`drop_duplicate_content` this keeps every row, without joining the table with
-    itself. A group is ranked in two steps: within each of ``SALTS`` shares, then among the
-    firsts of the shares. The other rows stay in their shares for the second step, so no task
-    sees more than a share of a large group.
-    """
-    order = [F.col("depth"), F.col("priority").desc(), F.col("seq"), F.col("url")]
-    salt = F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int")
-    in_share = F.row_number().over(Window.partitionBy(group, "_salt").orderBy(*order))
-    overall = F.row_number().over(Window.partitionBy(group, "_share").orderBy(*order))
-    return (
-        rows.withColumn("_salt", salt)
-        .withColumn("_leads", in_share == 1)
-        .withColumn("_share", F.when(F.col("_leads"), -1).otherwise(F.col("_salt")))
-        .withColumn("is_first", F.col("_leads") & (overall == 1))
-        .drop("_salt", "_leads", "_share")
-    )
-
-
 def similar_by_hash(pages: DataFrame, content_hash: str, k: int = SIMILAR_LIMIT) -> DataFrame:
     """At most ``k`` pages with the given hash, smallest ids first."""
     return (
@@ -65,38 +40,33 @@ def similar_content(pages: DataFrame, k: int = SIMILAR_LIMIT) -> DataFrame:
     """For every page the first ``k`` other pages with the same hash, by id.
 
     The ``k + 1`` smallest ids of a hash hold the answer for each of its pages, so pairs of copies
-    are never formed. Groups are cut to ``k + 2`` rows on the map side (Spark's window group
-    limit), which tells small groups from large ones: a small group is wholly in its list and
-    answers for itself. Only the pages of large groups are joined with their list, on hash and
-    salt, so one hash with a third of all pages is spread over ``LIST_SALTS`` partitions, which
-    AQE may split further.
+    are never formed. Ids are ranked among the copies of a hash in one input split, and then among the
+    leaders of the splits: the shares of a much-copied hash grow with the data. Every page is then joined with its
+    hash's list. The lists are grouped by one column more than the join, so both sides of it are shuffled for
+    the join and AQE can split a hash with a third of all pages. The plan is the same for every ``k``.
     """
     rows = pages.select("page_id", "url", "title", "hash").filter(F.col("hash").isNotNull())
-    rank = F.row_number().over(Window.partitionBy("hash").orderBy("page_id"))
+    split = Window.partitionBy("hash", "_split").orderBy("page_id")
+    overall = Window.partitionBy("hash", "_group").orderBy("page_id")
+    leaders = (
+        rows.withColumn("_split", F.spark_partition_id())
+        .withColumn("_rank", F.row_number().over(split))
+        .filter(F.col("_rank") <= k + 1)
+        .withColumn("_group", F.substring("hash", 1, 2))
+        .withColumn("_rank", F.row_number().over(overall))
+        .filter(F.col("_rank") <= k + 1)
+    )
     lists = (
-        rows.withColumn("_rank", rank)
-        .filter(F.col("_rank") <= k + 2)
-        .groupBy("hash")
+        leaders.groupBy("hash", "_group")
         .agg(F.array_sort(F.collect_list(F.struct("page_id", "url", "title"))).alias("members"))
         .filter(F.size("members") > 1)
+        .select("hash", "members")
     )
-    small = F.size("members") <= k + 1
-    answered = lists.filter(small).select(
-        "hash", "members", F.explode("members.page_id").alias("probe_id")
-    )
-    large = lists.filter(~small).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(LIST_SALTS - 1)))
-    )
-    probes = rows.select(
-        F.col("page_id").alias("probe_id"),
-        "hash",
-        F.pmod(F.xxhash64("page_id"), F.lit(LIST_SALTS)).cast("int").alias("salt"),
-    )
-    joined = probes.join(large, ["hash", "salt"]).select("hash", "members", "probe_id")
+    probes = rows.select(F.col("page_id").alias("probe_id"), "hash")
     others = F.slice(
         F.filter("members", lambda m: m.page_id != F.col("probe_id")), 1, k
     )
-    found = answered.unionByName(joined).select(
+    found = probes.join(lists, "hash").select(
         "probe_id", "hash", F.posexplode(others).alias("pos", "m")
     )
     return found.select(

@@ -6,10 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scoring import MAX_PRIORITY
 from ..schemas import COMPLETED, CONTEXT, FRONTIER, PENDING
-from ..session import cut_lineage
-
-# Up to this many rows the best ones are picked by a plain limit, which merges them in one task.
-SMALL_BATCH = 100_000
+from ..session import stored
 
 
 def seed_frontier(seeds: DataFrame, priority: int = MAX_PRIORITY) -> DataFrame:
@@ -49,12 +46,14 @@ def frontier_rows(links: DataFrame, seq: Column, scheduled_at: Column) -> DataFr
 def add_to_frontier(frontier: DataFrame, links: DataFrame) -> DataFrame:
     """Merge links into the frontier by URL.
 
-    A repeated URL gets the greatest priority and keeps everything else from the row with
-    the smallest ``seq``. Rows already in the frontier have smaller ``seq`` than new links, so
-    a completed URL stays completed. The aggregation combines repeats before the shuffle.
+    A repeated URL gets the greatest priority and keeps everything else from its row in the
+    frontier or, for a new URL, from the link with the smallest ``seq``. So a completed URL stays
+    completed whatever ``seq`` the links carry. The aggregation combines repeats before the shuffle.
     """
-    rows = frontier.unionByName(links.select(*frontier.columns))
-    first = ["seq", *[c for c in frontier.columns if c not in ("url", "priority", "seq")]]
+    rows = frontier.withColumn("_new", F.lit(False)).unionByName(
+        links.select(*frontier.columns).withColumn("_new", F.lit(True))
+    )
+    first = ["_new", "seq", *[c for c in frontier.columns if c not in ("url", "priority", "seq")]]
     merged = rows.groupBy("url").agg(
         F.max("priority").alias("priority"), F.min(F.struct(*first)).alias("_first")
     )
@@ -69,38 +68,33 @@ def within_depth(frontier: DataFrame, max_depth: int) -> DataFrame:
 
 
 def next_urls(frontier: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best pending URLs: highest priority, earliest scheduled, then URL."""
-    order = [F.col("priority").desc(), F.col("scheduled_at").asc(), F.col("url").asc()]
-    pending = frontier.filter(F.col("status") == PENDING)
-    if k <= SMALL_BATCH:
-        return pending.orderBy(*order).limit(k)
-    return _first_rows(pending, order, k)
-
+    """The ``k`` best pending URLs: highest priority, earliest scheduled, then URL.
 
-def _first_rows(rows: DataFrame, order: list, k: int) -> DataFrame:
-    """First ``k`` rows of a large ordered table, without bringing them into one task.
-
-    The table is range-sorted and checkpointed; the driver sees one count per partition.
-    Partitions wholly inside the first ``k`` are taken as they are, and in the one that straddles
-    the border the rows are numbered.
+    One way for every ``k``. Rows are counted per priority; priorities wholly inside the batch are taken as
+    they are. Only the priority at the border is range-sorted, written to the shared folder and numbered partition by
+    partition, so no task and no driver sees the batch. The two windows without a partition key run over one
+    row per priority and one row per partition.
     """
-    ranged = rows.orderBy(*order).withColumn("_part", F.spark_partition_id())
-    ranged = cut_lineage(ranged)
-    counts = ranged.groupBy("_part").count().orderBy("_part").collect()
-    whole, border, left = [], None, k
-    for part, n in counts:
-        if n <= left:
-            whole.append(part)
-            left -= n
-        else:
-            border = part
-            break
-    inside = ranged.filter(F.col("_part") <= (whole[-1] if whole else -1))
-    if border is not None and left:
-        rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-        edge = ranged.filter(F.col("_part") == border).withColumn("_rank", rank)
-        inside = inside.unionByName(edge.filter(F.col("_rank") <= left).drop("_rank"))
-    return inside.drop("_part")
+    pending = frontier.filter(F.col("status") == PENDING)
+    counts = pending.groupBy("priority").agg(F.count("*").alias("_n"))
+    better = Window.orderBy(F.col("priority").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = counts.withColumn("_before", F.coalesce(F.sum("_n").over(better), F.lit(0)))
+    near = pending.join(wanted.filter(F.col("_before") < k), "priority")
+    inside = F.col("_before") + F.col("_n") <= k
+    order = [F.col("scheduled_at").asc(), F.col("url").asc()]
+    border = near.filter(~inside).repartitionByRange(*order)
+    border, _ = stored(border.withColumn("_part", F.spark_partition_id()), "border")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = border.groupBy("_part").count().select(
+        "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_earlier")
+    )
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    chosen = (
+        border.withColumn("_rank", rank).join(parts, "_part")
+        .filter(F.col("_before") + F.col("_earlier") + F.col("_rank") <= k)
+    )
+    columns = frontier.columns
+    return near.filter(inside).select(*columns).unionByName(chosen.select(*columns))
 
 
 def mark_processed(frontier: DataFrame, urls: DataFrame) -> DataFrame:

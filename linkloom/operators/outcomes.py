@@ -9,7 +9,6 @@ from ..schemas import (
     ALREADY_CRAWLED, DUPLICATE, ERROR, FETCH_FAILED, IRRELEVANT_TYPE, NOT_CAPTURED, PROCESSED,
     SKIPPED,
 )
-from .dedup import mark_first
 
 
 def drop_irrelevant(captures: DataFrame) -> DataFrame:
@@ -38,8 +37,9 @@ def classify_outcomes(
     that order, and only rows that pass the first three compete for a content hash. Hashes in
     ``seen`` were processed earlier in the same crawl and beat all others.
 
-    The captures are read once. Repeated URLs are combined before their shuffle, the join is on
-    URLs that are unique on both sides, and a hash shared by very many URLs is split by salt.
+    Repeated URLs are combined before the one shuffle of the facts. The winner of each hash comes from an
+    aggregation, which combines copies early, and goes back to the facts by URL, where they already are; all
+    joins are on keys that are unique on one side. Nothing is ranked within a hash.
     """
     if "captured" not in facts.columns:
         facts = facts.withColumn("captured", F.lit(True))
@@ -56,18 +56,16 @@ def classify_outcomes(
         .when(~F.col("fetched"), FETCH_FAILED)
         .when(~is_relevant_content(F.col("content_type")), IRRELEVANT_TYPE),
     )
-    # Rows out of the competition form groups of their own.
-    group = F.when(F.col("_reason").isNull(), F.col("hash")).otherwise(F.col("url"))
-    competing = flagged.withColumn("_group", group).withColumn("_earlier", F.lit(False))
+    eligible = flagged.filter(F.col("_reason").isNull())
+    rank = F.struct("depth", (-F.col("priority")).alias("_rank"), "seq", "url")
+    winners = eligible.groupBy("hash").agg(F.min(rank).alias("_first"))
     if seen is not None:
-        earlier = seen.select(
-            F.col("hash").alias("_group"), F.lit(-1).alias("depth"), F.lit("").alias("url"),
-            F.lit(True).alias("_earlier"),
-        )
-        competing = competing.unionByName(earlier, allowMissingColumns=True)
-    marked = mark_first(competing, "_group").filter(~F.col("_earlier"))
-    reason = F.coalesce(F.col("_reason"), F.when(~F.col("is_first"), F.lit(DUPLICATE)))
-    decided = marked.withColumn("reason", reason)
+        winners = winners.join(seen.select("hash").distinct(), "hash", "left_anti")
+    winners = winners.select(F.col("_first.url").alias("url"), F.lit(True).alias("_wins"))
+    decided = flagged.join(winners, "url", "left").withColumn(
+        "reason",
+        F.coalesce(F.col("_reason"), F.when(F.col("_wins").isNull(), F.lit(DUPLICATE))),
+    )
     outcome = (
         F.when(F.col("reason").isNull(), PROCESSED)
         .when(F.col("reason").isin(NOT_CAPTURED, FETCH_FAILED), ERROR)

@@ -2,62 +2,87 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut_lineage, scratch_path
+from ..session import drop_path, scratch_path, stored
 
 # Shares into which the out-links of one page are split, for pages with very many links.
 SALTS = 8
+# Edges that one bucket should hold when the number of buckets is not given.
+BUCKET_EDGES = 5_000_000
 
 
-def _bucketed(edges: DataFrame) -> tuple[str, DataFrame]:
-    """Edges as a table bucketed by source and salt, in the shared folder.
-
-    They are shuffled once here; the join of every level then reads them in place.
-    """
-    spark = edges.sparkSession
-    path = scratch_path(spark, "edges")
-    name = "edges_" + path.rsplit("-", 1)[1]
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")
-    links = edges.select("src", "dst", salt.alias("salt")).dropna(subset=["src", "dst"])
+def _bucketed(df: DataFrame, name: str, path: str, buckets: int, keys: list[str]) -> None:
+    """Add rows to a table in the shared folder that is bucketed by ``keys``."""
     (
-        links.repartition(buckets, "src", "salt")
-        .write.bucketBy(buckets, "src", "salt")
-        .sortBy("src", "salt")
+        df.repartition(buckets, *keys)
+        .write.mode("append")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
         .option("path", path)
         .saveAsTable(name)
     )
-    return name, spark.table(name)
 
 
-def bfs_depths(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
+def bfs_depths(
+    edges: DataFrame, seeds: DataFrame, max_depth: int, buckets: int | None = None
+) -> DataFrame:
     """``url, depth, parent_url`` of everything within ``max_depth`` links of the seeds.
 
     ``edges`` has ``src, dst``; ``seeds`` has ``url``. Each URL gets its first depth and,
     among its parents one level up, the smallest. Level-synchronous: one level is joined with
-    the edges at a time, and repeated targets are combined before their shuffle. Levels are
-    checkpointed, so the plan does not grow and a lost executor costs no more than the level
-    at hand. The driver only learns whether a level is empty.
+    the edges at a time, and repeated targets are combined before their shuffle.
+
+    Edges and visited URLs are tables bucketed alike (``buckets``, by default from the number of edges), so neither
+    is shuffled again: only the level and its targets move. A level is appended to the visited
+    table, which is also the result, so the plan does not grow and a lost executor costs no more than the level
+    at hand. The driver only learns whether a level is empty. The edge table and all catalog entries are
+    removed at the end, also after a failure; the visited files stay for the result.
     """
-    name, links = _bucketed(edges)
+    spark = edges.sparkSession
+    run = uuid.uuid4().hex
+    edge_name, seen_name = f"edges_{run}", f"visited_{run}"
+    edge_path, seen_path = scratch_path(spark, "bfs-edges"), scratch_path(spark, "bfs-visited")
+    salt = F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    level = cut_lineage(
-        seeds.select("url").distinct()
-        .select("url", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent_url"))
-    )
-    visited = level
-    for depth in range(1, max_depth + 1):
-        sources = level.select(F.col("url").alias("src"), salts)
-        reached = (
-            links.join(sources, ["src", "salt"])
-            .groupBy(F.col("dst").alias("url"))
-            .agg(F.min("src").alias("parent_url"))
+    try:
+        links = edges.select("src", "dst", salt.alias("salt")).dropna(subset=["src", "dst"])
+        links, raw_path = stored(links, "bfs-links")
+        if buckets is None:
+            parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            buckets = max(parallel, -(-links.count() // BUCKET_EDGES))
+        _bucketed(links, edge_name, edge_path, buckets, ["src", "salt"])
+        drop_path(spark, raw_path)
+        level = seeds.select("url").distinct().select(
+            "url", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent_url")
         )
-        fresh = reached.join(visited.select("url"), "url", "left_anti")
-        level = cut_lineage(fresh.select("url", F.lit(depth).alias("depth"), "parent_url"))
-        if level.isEmpty():
-            break
-        visited = visited.unionByName(level)
-    edges.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    return visited
+        _bucketed(level, seen_name, seen_path, buckets, ["url"])
+        for depth in range(1, max_depth + 1):
+            fresh = _next_level(spark.table(edge_name), spark.table(seen_name), salts, depth)
+            fresh, fresh_path = stored(fresh, "bfs-level")
+            found = not fresh.isEmpty()
+            if found:
+                _bucketed(fresh, seen_name, seen_path, buckets, ["url"])
+            drop_path(spark, fresh_path)
+            if not found:
+                break
+        schema = spark.table(seen_name).schema
+    finally:
+        for name in (edge_name, seen_name):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_path(spark, edge_path)
+    return spark.read.schema(schema).parquet(seen_path)
+
+
+def _next_level(links: DataFrame, visited: DataFrame, salts, depth: int) -> DataFrame:
+    """URLs first reached at ``depth``, given everything visited before."""
+    level = visited.filter(F.col("depth") == depth - 1)
+    reached = (
+        links.join(level.select(F.col("url").alias("src"), salts), ["src", "salt"])
+        .groupBy(F.col("dst").alias("url"))
+        .agg(F.min("src").alias("parent_url"))
+    )
+    fresh = reached.join(visited.select("url"), "url", "left_anti")
+    return fresh.select("url", F.lit(depth).alias("depth"), "parent_url")

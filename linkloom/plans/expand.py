@@ -14,7 +14,7 @@ from ..operators.links import PAGE_CONTEXT, explode_links, link_array, score_lin
 from ..operators.outcomes import classify_outcomes
 from ..operators.pages import page_rows, upsert_pages
 from ..schemas import OUTCOMES, PROCESSED
-from ..session import cut_lineage
+from ..session import drop_path, stored
 
 STRATEGY = "smart"
 
@@ -58,9 +58,12 @@ def prepare_site(captures: DataFrame) -> CapturedSite:
             "links": link_array(drop_same_page=True),
         }
     )
-    pages = cut_lineage(analyzed.drop("html", "marked"))
+    pages, pages_path = stored(analyzed.drop("html", "marked"), "site")
     links = score_links(explode_links(pages, F.col("links"), PAGE_CONTEXT))
-    return CapturedSite(pages.drop("links", "depth"), cut_lineage(links))
+    facts, _ = stored(pages.drop("links", "depth"), "site-facts")
+    links, _ = stored(links, "site-links")
+    drop_path(captures.sparkSession, pages_path)
+    return CapturedSite(facts, links)
 
 
 def expand_frontier(
@@ -70,7 +73,8 @@ def expand_frontier(
 
     The depth limit applies before the ``k`` best are taken, so URLs beyond it cannot block
     the batch; the same holds for links found. URLs without a capture count as errors. All
-    URLs of the batch end up completed, whatever their outcome.
+    URLs of the batch end up completed, whatever their outcome. Rounds may go on from any earlier
+    state: rows that are in the frontier keep their values (see :func:`add_to_frontier`).
     """
     chosen = next_urls(within_depth(state.frontier, max_depth), k)
     batch = chosen.select("url", "priority", "depth", "parent_url", "seq")
@@ -84,14 +88,14 @@ def expand_frontier(
             }
         )
     )
-    facts = cut_lineage(facts)
+    facts, _ = stored(facts, "round-facts")
     outcomes = classify_outcomes(facts, state.pages, state.seen)
-    outcomes = cut_lineage(outcomes.select(*OUTCOMES.fieldNames()))
-    stored = facts.join(
+    outcomes, _ = stored(outcomes.select(*OUTCOMES.fieldNames()), "round-outcomes")
+    processed = facts.join(
         outcomes.filter(F.col("outcome") == PROCESSED).select("url"), "url", "left_semi"
     )
-    pages = upsert_pages(state.pages, page_rows(stored).select(*state.pages.columns))
-    depths = stored.select(F.col("url").alias("parent_url"), F.col("depth").alias("_depth"))
+    pages = upsert_pages(state.pages, page_rows(processed).select(*state.pages.columns))
+    depths = processed.select(F.col("url").alias("parent_url"), F.col("depth").alias("_depth"))
     links = (
         site.links.join(depths, "parent_url")
         .withColumn("depth", (F.col("_depth") + 1).cast("int"))
@@ -99,26 +103,6 @@ def expand_frontier(
     )
     queued = add_to_frontier(state.frontier, frontier_rows(links, seq, at))
     frontier = mark_processed(queued, batch)
-    hashes = stored.select("hash")
-    seen = cut_lineage(hashes if state.seen is None else state.seen.unionByName(hashes))
-    return CrawlState(cut_lineage(frontier), cut_lineage(pages), outcomes, seen)
-
-
-def crawl(
-    frontier: DataFrame, captures: DataFrame, pages: DataFrame, rounds: int, k: int,
-    max_depth: int, start: Column,
-) -> CrawlState:
-    """Up to ``rounds`` rounds of :func:`expand_frontier`; stops when a batch is empty.
-
-    ``start`` is the scheduling time of links found; they come after the seeds in ``seq``.
-    """
-    site = prepare_site(captures)
-    state = CrawlState(cut_lineage(frontier), cut_lineage(pages))
-    collected: DataFrame | None = None
-    for number in range(1, rounds + 1):
-        state = expand_frontier(state, site, k, max_depth, F.lit(number), start)
-        if state.outcomes.isEmpty():
-            break
-        tagged = state.outcomes.withColumn("round", F.lit(number))
-        collected = tagged if collected is None else collected.unionByName(tagged)
-    return CrawlState(state.frontier, state.pages, collected, state.seen)
+    hashes = processed.select("hash")
+    seen, _ = stored(hashes if state.seen is None else state.seen.unionByName(hashes), "seen")
+    return CrawlState(stored(frontier, "frontier")[0], stored(pages, "pages")[0], outcomes, seen)

@@ -29,15 +29,3 @@ def captured_pages(df: DataFrame) -> DataFrame:
     ]
     extra = [F.col(c) for c in df.columns if c not in CAPTURES.fieldNames()]
     return df.select(*extra, *known)
-
-
-def spread(captures: DataFrame) -> DataFrame:
-    """Give every core a share when a table has fewer splits than the cluster has cores.
-
-    Parsing pages is CPU-bound and a Parquet row group cannot be split. Large tables have many
-    more splits than cores and pass through untouched, without a shuffle.
-    """
-    cores = captures.sparkSession.sparkContext.defaultParallelism
-    if captures.rdd.getNumPartitions() >= cores:
-        return captures
-    return captures.repartition(cores)

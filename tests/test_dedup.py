@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 from linkloom.operators.dedup import (
-    drop_duplicate_content, mark_first, similar_by_hash, similar_content,
+    drop_duplicate_content, similar_by_hash, similar_content,
 )
 from pyspark.sql import functions as F
 
@@ -35,7 +35,7 @@ def test_similar_content_against_brute_force(spark):
 def test_similar_content_cuts_groups_before_the_shuffle(spark):
     pages = spark.createDataFrame(_pages(), "page_id long, url string, title string, hash string")
     plan = similar_content(pages)._jdf.queryExecution().executedPlan().treeString()
-    assert "row_number(), 7, Partial" in plan
+    assert "row_number(), 6, Partial" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
@@ -69,17 +69,14 @@ def test_first_copy_against_brute_force(spark):
     expected = {_first(g) for g in groups.values()}
     captures = spark.createDataFrame(rows, SCHEMA).repartition(6)
     assert {tuple(r) for r in drop_duplicate_content(captures).collect()} == expected
-    marked = mark_first(captures, "hash").collect()
-    assert len(marked) == len(rows)
-    assert {tuple(r)[:6] for r in marked if r.is_first} == expected
-
-
-def test_no_task_sees_a_whole_hot_group(spark):
-    """Both rankings split a group by salt, so its largest share is a small part of it."""
-    rows = [("hot", 0, 1, i, f"u{i}", i) for i in range(6400)]
-    salt = F.pmod(F.xxhash64("url"), F.lit(64))
-    shares = spark.createDataFrame(rows, SCHEMA).groupBy(salt).count().collect()
-    assert len(shares) == 64 and max(r["count"] for r in shares) < 200
-    plan = mark_first(spark.createDataFrame(rows, SCHEMA), "hash")
-    text = plan._jdf.queryExecution().executedPlan().treeString()
-    assert text.count("hashpartitioning(hash") == 2 and "Join" not in text
+
+
+def test_similar_content_has_one_plan(spark):
+    pages = spark.range(100).selectExpr(
+        "id AS page_id", "concat('u', id) AS url", "'t' AS title", "md5(string(id % 7)) AS hash"
+    )
+    few, many = similar_content(pages, 5), similar_content(pages, 5000)
+    plans = [p._jdf.queryExecution().executedPlan().treeString() for p in (few, many)]
+    assert len({p.count("Exchange") for p in plans}) == 1
+    counts = [p.groupBy("probe_id").count().agg({"count": "max"}).first()[0] for p in (few, many)]
+    assert counts == [5, 14]

@@ -1,12 +1,13 @@
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from linkloom.operators.frontier import seed_frontier
 from linkloom.plans.bfs import bfs_depths
-from linkloom.plans.expand import crawl
+from linkloom.plans.expand import CrawlState, expand_frontier, prepare_site
 from linkloom.schemas import PAGES
 
 
@@ -43,21 +44,44 @@ def test_bfs_against_a_loop(spark, max_depth):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("edges_")]
 
 
-def test_bfs_shuffles_the_edges_once(spark):
-    """Levels read the bucketed edges in place: only the level itself is exchanged."""
-    from linkloom.plans.bfs import _bucketed
+def test_bfs_shuffles_neither_edges_nor_visited(spark):
+    """A level reads both bucketed tables in place: only the level and its targets are exchanged."""
+    from linkloom.plans import bfs
+    from linkloom.session import scratch_path
 
-    edges = spark.createDataFrame([(f"a{i}", f"b{i}") for i in range(50)], "src string, dst string")
-    name, links = _bucketed(edges)
-    level = spark.createDataFrame([("a1", 0)], "src string, salt int")
+    edges = spark.createDataFrame(
+        [(f"a{i}", f"b{i}", 0) for i in range(50)], "src string, dst string, salt int"
+    )
+    visited = spark.createDataFrame([("a1", 0, None)], "url string, depth int, parent_url string")
+    names = ("edges_t", "visited_t")
+    bfs._bucketed(edges, names[0], scratch_path(spark, "e"), 8, ["src", "salt"])
+    bfs._bucketed(visited, names[1], scratch_path(spark, "v"), 8, ["url"])
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = links.join(level, ["src", "salt"])._jdf.queryExecution().executedPlan()
-        assert plan.treeString().count("Exchange") == 1
+        level = bfs._next_level(
+            spark.table(names[0]), spark.table(names[1]), F.lit(0).alias("salt"), 1
+        )
+        plan = level._jdf.queryExecution().executedPlan().treeString()
+        assert plan.count("Exchange hashpartitioning") == 2  # the level's sources, its targets
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.sql(f"DROP TABLE {name}")
+        for name in names:
+            spark.sql(f"DROP TABLE {name}")
+
+
+def test_bfs_leaves_no_edge_files(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    edges = spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string")
+    start = spark.createDataFrame([("a",)], "url string")
+    before = {p.name for p in folder.iterdir()}
+    assert bfs_depths(edges, start, 5, buckets=3).count() == 3
+    left = {p.name for p in folder.iterdir()} - before
+    assert all(name.startswith("bfs-visited") for name in left)
+    broken = edges.selectExpr("src", "raise_error('no') AS dst")
+    with pytest.raises(Exception, match="no"):
+        bfs_depths(broken, start, 5).count()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("visited_")]
 
 
 SITE = {
@@ -86,8 +110,20 @@ def _crawl(spark, seeds, rounds=10, k=2, max_depth=5, stored=()):
         *(F.col(f.name) if f.name in pages.columns else F.lit(None).cast(f.dataType).alias(f.name)
           for f in PAGES.fields if f.name != "content")
     )
-    at = F.lit("2024-01-01").cast("timestamp")
-    return crawl(frontier, _site(spark), pages, rounds, k, max_depth, at)
+    return _rounds(spark, CrawlState(frontier, pages), rounds, k, max_depth)
+
+
+def _rounds(spark, state, rounds, k, max_depth=5):
+    """Rounds until the batch is empty, with the outcomes of all."""
+    site, at = prepare_site(_site(spark)), F.lit("2024-01-01").cast("timestamp")
+    collected = None
+    for number in range(1, rounds + 1):
+        state = expand_frontier(state, site, k, max_depth, F.lit(number), at)
+        if state.outcomes.isEmpty():
+            break
+        tagged = state.outcomes.withColumn("round", F.lit(number))
+        collected = tagged if collected is None else collected.unionByName(tagged)
+    return CrawlState(state.frontier, state.pages, collected, state.seen)
 
 
 def _outcomes(state):
@@ -143,3 +179,15 @@ def test_depth_limit(spark):
 def test_empty_frontier_stops(spark):
     state = _crawl(spark, ["http://h/d"], rounds=3)
     assert _outcomes(state) == {(1, "http://h/d", "processed", None)}
+
+
+def test_rounds_may_go_on_later(spark):
+    """Numbering starts anew with every call; a completed URL keeps its state all the same."""
+    state = _crawl(spark, ["http://h/"], rounds=3, k=1)
+    before = {r.url: r for r in state.frontier.collect()}
+    done = {u for u, r in before.items() if r.status == "completed"}
+    state = _rounds(spark, state, rounds=3, k=1)
+    after = {r.url: r for r in state.frontier.collect()}
+    for url in done:
+        assert after[url].asDict() | {"priority": 0} == before[url].asDict() | {"priority": 0}
+    assert {u for u, r in after.items() if r.status == "completed"} > done

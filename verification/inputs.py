@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from linkloom.sources.captures import captured_pages, spread
+from linkloom.sources.captures import captured_pages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -12,7 +12,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(captured_pages(table(spark, sf_dir, "pages")))
+    return captured_pages(table(spark, sf_dir, "pages"))
 
 
 def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,4 +146,4 @@ def linked_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     joined = pages.join(anchors, "page_id")
     html = F.concat("html", "anchors")
-    return spread(captured_pages(joined.select("page_id", "url", html.alias("html"))))
+    return captured_pages(joined.select("page_id", "url", html.alias("html")))

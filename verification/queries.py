@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,8 +11,8 @@ from linkloom.functions import report_texts as R, scoring as S, urls as U
 from linkloom.operators import content, dedup, frontier as FR, links as L, outcomes as O
 from linkloom.operators import pages as P
 from linkloom.plans import bfs, expand, reports
-from linkloom.session import scratch_path
-from linkloom.sources.captures import captured_pages as as_captures, spread
+from linkloom.session import scratch_path, stored
+from linkloom.sources.captures import captured_pages as as_captures
 from linkloom.sources.tables import read_table, write_table
 from linkloom.streaming import streams
 
@@ -368,7 +369,8 @@ def frontier_merge(spark, sf_dir):
 
 @query
 def next_urls(spark, sf_dir):
-    within = FR.within_depth(_merged(spark, sf_dir), 1)
+    merged, _ = stored(_merged(spark, sf_dir), "frontier")
+    within = FR.within_depth(merged, 1)
     return _frontier_columns(FR.next_urls(within, BATCH))
 
 
@@ -382,44 +384,60 @@ def mark_processed(spark, sf_dir):
     return _frontier_columns(_frontier(spark, sf_dir))
 
 
-def _first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.table(spark, sf_dir, "pages").filter("page_id = 0").select("url")
+def _start_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.table(spark, sf_dir, "pages").filter("page_id % 50 = 0").select("url")
 
 
 @query
 def bfs_depths(spark, sf_dir):
     edges = I.page_edges(spark, sf_dir)
-    return bfs.bfs_depths(edges, _first_page(spark, sf_dir), MAX_DEPTH).select(
+    return bfs.bfs_depths(edges, _start_pages(spark, sf_dir), MAX_DEPTH).select(
         "url", long("depth"), "parent_url"
     )
 
 
-def _crawl(spark: SparkSession, sf_dir: str, rounds: int) -> expand.CrawlState:
+def _crawl(spark: SparkSession, sf_dir: str, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """Frontier after some rounds, each over a batch of half as many URLs as there are pages, and all outcomes."""
     captures = I.linked_captures(spark, sf_dir).withColumn(
         "content_type", I.page_content_type()
     )
-    stored = P.page_rows(
+    pages = P.page_rows(
         content.analyze_content(I.captures(spark, sf_dir)).filter(F.contains("url", F.lit("?")))
     )
-    return expand.crawl(
-        _frontier(spark, sf_dir), captures, stored, rounds, BATCH, MAX_DEPTH, at(START)
-    )
+    frontier, _ = stored(_frontier(spark, sf_dir), "frontier")
+    state = expand.CrawlState(frontier, stored(pages, "pages")[0])
+    site = expand.prepare_site(captures)
+    k, outcomes = I.table(spark, sf_dir, "pages").count() // 2, []
+    for number in range(1, rounds + 1):
+        state = expand.expand_frontier(state, site, k, MAX_DEPTH, F.lit(number), at(START))
+        outcomes.append(state.outcomes.withColumn("round", F.lit(number)))
+    return state.frontier, reduce(DataFrame.unionByName, outcomes)
 
 
 @query
 def expand_frontier_1(spark, sf_dir):
     """The frontier after one round."""
-    return _frontier_columns(_crawl(spark, sf_dir, rounds=1).frontier)
+    return _frontier_columns(_crawl(spark, sf_dir, rounds=1)[0])
 
 
 @query
 def expand_frontier_outcomes(spark, sf_dir):
     """Outcomes of three rounds."""
-    return _crawl(spark, sf_dir, rounds=3).outcomes.select(
+    return _crawl(spark, sf_dir, rounds=3)[1].select(
         long("round"), "url", "outcome", "reason", "size"
     )
 
 
+@query
+def frontier_resume(spark, sf_dir):
+    """Two merges whose links carry the same ``seq``; URLs of the first are completed in between."""
+    merged = _merged(spark, sf_dir)
+    done = merged.filter(F.col("depth") == 0).select("url")
+    links = L.extract_scored_links(I.linked_captures(spark, sf_dir)).withColumn("depth", F.lit(7))
+    again = FR.frontier_rows(links, F.lit(0), at(LATER))
+    return _frontier_columns(FR.add_to_frontier(FR.mark_processed(merged, done), again))
+
+
 # --- reports -----------------------------------------------------------------------------------
 
 
@@ -470,7 +488,7 @@ def improvement(spark, sf_dir):
 @query
 def format_bytes(spark, sf_dir):
     """Order prices as byte counts, from bytes to exabytes, with ties of the last decimal."""
-    orders = spread(I.table(spark, sf_dir, "orders"))
+    orders = I.table(spark, sf_dir, "orders")
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     sizes = F.array(
         cents % 1100, cents, cents * 256, cents * 1024 * 1024, cents * 1_000_003,
@@ -496,7 +514,7 @@ def quality_report(spark, sf_dir):
         F.col("doc_id").alias("page_id"), F.col("text").alias("html")
     )
     report = reports.quality_report(
-        content.with_features(content.marked_pages(spread(documents))).select("hash", "content_quality")
+        content.with_features(content.marked_pages(documents)).select("hash", "content_quality")
     )
     return report.select(
         "pages", "distinct_bodies",
