@@ -9,7 +9,7 @@ given other numbers and names is caught, while a text that only shares the form
 A document is contaminated if consistent windows cover ``MIN_WORDS`` template words of one item in step, or of one
 unbroken run, or a whole item that is shorter.
 
-Scale: benchmark windows set bits in a bitmap of fixed size (``FILTER_BITS``; 8 MB whatever the benchmark's
+Scale: benchmark windows set bits in a bitmap of fixed size (8 MB whatever the benchmark's
 size), which is shared with all tasks; documents emit only windows that hit it. What the bitmap lets through
 is joined exactly by the window's text. Each distinct window stands for one item only (the smallest id that has it), so a
 window that many items share multiplies nothing, and no pairs of documents and items are enumerated.
@@ -25,13 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from linkloom.llm.bitmaps import key_bitmap, maybe_in
 from linkloom.llm.textcols import Texts, mix, slices, texts_of, windows
 
 WINDOW = 8
 MIN_WORDS = 12
 MIN_PLAIN = 4
-FILTER_BITS = 1 << 26
-BUCKET_BITS = 1 << 15  # bits of one bitmap of Spark's bitmap functions
 
 #: Units as they are written after a number.
 UNITS = (
@@ -146,23 +145,9 @@ def benchmark_windows(items: DataFrame, size: int) -> DataFrame:
     return every.groupBy("key", "form", "size").agg(held).select("key", "form", "size", "o.*")
 
 
-def window_filter(known: DataFrame) -> np.ndarray:
-    """Bitmap of fixed size over the keys of the benchmark's windows."""
-    bit = F.pmod("key", F.lit(FILTER_BITS)) + 1
-    parts = known.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
-    )
-    bitmap = np.zeros(FILTER_BITS // 8, np.uint8)
-    for bucket, bits in parts.collect():  # at most FILTER_BITS / BUCKET_BITS rows
-        piece = np.frombuffer(bytes(bits), np.uint8)
-        start = (bucket - 1) * (BUCKET_BITS // 8)
-        bitmap[start : start + len(piece)] |= piece
-    return bitmap
-
-
 def matching_windows(docs: DataFrame, known: DataFrame, size: int) -> DataFrame:
     """Windows of the documents that may be in the benchmark: all that are, and a few others."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(window_filter(known))
+    bitmap = docs.sparkSession.sparkContext.broadcast(key_bitmap(known, "key"))
     sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # 1 to ``size`` at most
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,8 +158,7 @@ def matching_windows(docs: DataFrame, known: DataFrame, size: int) -> DataFrame:
             ids, rows = batch.column("doc_id").to_pylist(), []
             for length in sizes:
                 at, keys = windows(template.key, template.owner, length)
-                place = (keys & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-                hit = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                hit = maybe_in(bits, keys)
                 for p, key in zip(at[hit].tolist(), keys[hit].view(np.int64).tolist()):
                     i = int(template.owner[p])
                     if found := template.window(p, length):

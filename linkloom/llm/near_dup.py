@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from linkloom.llm.bitmaps import key_bitmap, maybe_in
 from linkloom.llm.textcols import Texts, mix, slices, texts_of, windows
 from linkloom.session import drop_path, stored
 
@@ -119,12 +120,25 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sketch, SKETCH)
 
 
+def texts_of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` of these ids, once each. A bitmap of the ids keeps other texts out of the shuffle."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(key_bitmap(ids.select(F.xxhash64("doc_id").alias("key")), "key"))
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = maybe_in(bitmap.value, batch.column("key").to_numpy(zero_copy_only=False))
+            if hit.any():
+                yield batch.select(["doc_id", "text"]).filter(pa.array(hit))
+
+    near = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(wanted, "doc_id long, text string")
+    return near.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
 def compared(pairs: DataFrame, docs: DataFrame, size: int, percent: int, differences: bool) -> DataFrame:
     """Full comparison of the pairs (``a``, ``b``): ``linked``, that is ``100 * intersection >= percent * union``; and, if asked for, ``size``
     of the set of ``b``, ``diff``, the elements in one set only, and ``probe``: a class that is linked to ``b`` but not to ``a`` has
     one of the first so many of them in its own difference, in any order."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = texts_of_ids(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
