@@ -33,7 +33,6 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
         spark__sql__shuffle__partitions=cpus,
-        spark__python__sql__dataFrameDebugging__enabled="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE

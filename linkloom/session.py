@@ -16,6 +16,13 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Large column expressions: keeping a call site for each part of them takes most of the planning time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # Streaming state outside the heap.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         builder = builder.master(master)
@@ -31,7 +38,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="linkloom-")
         spark.conf.set("spark.checkpoint.dir", folder)

@@ -10,17 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 
-def _committed_versions(spark: SparkSession, root: str) -> list[int]:
+def committed_numbers(spark: SparkSession, root: str, key: str) -> list[int]:
+    """Numbers N of the directories ``key=N`` below ``root`` that Spark's committer has finished."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "version=*/_SUCCESS"))
+    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, f"{key}=*/_SUCCESS"))
     names = [m.getPath().getParent().getName() for m in marks or []]
     return sorted(int(n.split("=", 1)[1]) for n in names)
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    versions = _committed_versions(spark, root)
+    versions = committed_numbers(spark, root, "version")
     return versions[-1] if versions else None
 
 
@@ -29,12 +30,15 @@ def write_table(
 ) -> int:
     """Write a new version of the table at ``root`` and return its number.
 
-    A given ``version`` makes the write repeatable: doing it again replaces that version only.
+    A given ``version`` makes the write repeatable: doing it again replaces that version only. Without one
+    the table has a single writer; a second one that took the same number fails, as the directory is there.
     Partition by low-cardinality columns (the frontier by ``status``), never by URL or host.
     """
+    mode = "overwrite"
     if version is None:
         version = (current_version(df.sparkSession, root) or 0) + 1
-    writer = df.write.mode("overwrite")
+        mode = "errorifexists"
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{root}/version={version}")

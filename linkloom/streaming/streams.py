@@ -1,25 +1,28 @@
 """Structured Streaming forms of scoring, de-duplication, frontier upkeep and counters.
 
-Stores fed by a stream are append-only logs with one directory per micro-batch. A replayed
-batch overwrites its own directory, so nothing is counted twice, and a batch costs what it holds,
-not what the store holds. Reading a store folds the log by the same rule as the batch operator;
-:func:`compact` does that once for all later readers.
+Stores fed by a stream are append-only logs with one directory per micro-batch. A store belongs to one
+checkpoint: a batch that is replayed after a failure finds its directory committed and leaves it alone, so nothing is
+counted twice, and a batch costs what it holds, not what the store holds. Readers see committed batches only. Reading
+a store folds the log by the same rule as the batch operator; :func:`compact` does that once for all later readers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.urls import is_relevant_content
 from ..operators.content import analyze_content
 from ..operators.frontier import add_to_frontier
 from ..operators.pages import fold_pages, page_rows, upsert_pages
-from ..schemas import ERROR, FRONTIER, PROCESSED, SKIPPED
-from ..sources.tables import current_version, read_table, write_table
+from ..schemas import ERROR, FETCH_FAILED, FRONTIER, IRRELEVANT_TYPE, PAGES, PROCESSED, SKIPPED
+from ..session import drop_path
+from ..sources.tables import committed_numbers, current_version, read_table, write_table
 
-LOG, FOLDED = "log", "folded"
+LOG, FAULTS, FOLDED = "log", "faults", "folded"
+FAULT = T.StructType().add("url", "string").add("reason", "string")
 
 
 def _start(
@@ -34,23 +37,48 @@ def _start(
     )
 
 
-def _append(root: str) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/{LOG}/batch_id={batch_id}")
+def _append(rows: DataFrame, root: str, part: str, batch_id: int) -> None:
+    """Write a micro-batch unless an earlier attempt has committed it."""
+    if batch_id not in committed_numbers(rows.sparkSession, f"{root}/{part}", "batch_id"):
+        rows.write.mode("overwrite").parquet(f"{root}/{part}/batch_id={batch_id}")
+
 
-    return write
+def _read_batches(
+    spark: SparkSession, root: str, part: str, after: int, schema: T.StructType
+) -> DataFrame:
+    """Committed batches with a greater number, with their ``batch_id``."""
+    numbers = [n for n in committed_numbers(spark, f"{root}/{part}", "batch_id") if n > after]
+    if not numbers:
+        return spark.createDataFrame([], T.StructType(list(schema.fields)).add("batch_id", T.IntegerType()))
+    paths = [f"{root}/{part}/batch_id={n}" for n in numbers]
+    return spark.read.option("basePath", f"{root}/{part}").parquet(*paths)
 
 
 def stream_score(
     captures: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Score a stream of captures into the page store at ``root``; the page text is not kept."""
-    return _start(page_rows(analyze_content(captures)), _append(root), checkpoint, trigger)
+    """Score a stream of captures into the page store at ``root``; the page text is not kept.
+
+    Failed fetches and irrelevant content types never reach the pages, so they replace nothing; they go
+    to a log of their own (:func:`read_faults`).
+    """
+    reason = F.when(F.col("html").isNull(), FETCH_FAILED).when(
+        ~is_relevant_content(F.col("content_type")), IRRELEVANT_TYPE
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        marked = batch.withColumn("_fault", reason)
+        faults = marked.filter(F.col("_fault").isNotNull())
+        _append(faults.select("url", F.col("_fault").alias("reason")), root, FAULTS, batch_id)
+        good = marked.filter(F.col("_fault").isNull()).drop("_fault")
+        _append(page_rows(analyze_content(good)), root, LOG, batch_id)
+
+    return _start(captures, write, checkpoint, trigger)
 
 
-def _read_log(spark: SparkSession, root: str, after: int) -> DataFrame:
-    log = spark.read.option("basePath", f"{root}/{LOG}").parquet(f"{root}/{LOG}")
-    return log.filter(F.col("batch_id") > after)
+def read_faults(spark: SparkSession, root: str) -> DataFrame:
+    """``url, reason, batch_id`` of the captures that were not stored."""
+    return _read_batches(spark, root, FAULTS, -1, FAULT)
 
 
 def _folded(spark: SparkSession, root: str) -> tuple[int, DataFrame | None]:
@@ -64,7 +92,8 @@ def _folded(spark: SparkSession, root: str) -> tuple[int, DataFrame | None]:
 def read_scored(spark: SparkSession, root: str) -> DataFrame:
     """Current pages of the store: the last batch wins, the first origin stays."""
     upto, folded = _folded(spark, root)
-    newer = _read_log(spark, root, upto)
+    schema = T.StructType([f for f in PAGES.fields if f.name != "content"])
+    newer = _read_batches(spark, root, LOG, upto, schema)
     if folded is None:
         return fold_pages(newer, "batch_id")
     return upsert_pages(folded.withColumn("batch_id", F.lit(upto)), newer, "batch_id").drop(
@@ -76,36 +105,49 @@ def stream_frontier(
     links: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Append a stream of frontier rows to the frontier store at ``root``."""
-    return _start(links.select(*FRONTIER.fieldNames()), _append(root), checkpoint, trigger)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _append(batch, root, LOG, batch_id)
+
+    return _start(links.select(*FRONTIER.fieldNames()), write, checkpoint, trigger)
 
 
 def read_frontier(spark: SparkSession, root: str) -> DataFrame:
-    """Current frontier of the store."""
+    """Current frontier of the store. A URL keeps the values of the first batch that had it: the batch
+    number takes the place of ``seq``."""
     upto, folded = _folded(spark, root)
     if folded is None:
         folded = spark.createDataFrame([], FRONTIER)
-    return add_to_frontier(folded, _read_log(spark, root, upto))
+    newer = _read_batches(spark, root, LOG, upto, FRONTIER)
+    return add_to_frontier(folded, newer.withColumn("seq", F.col("batch_id").cast("long")))
 
 
 def compact(
     spark: SparkSession, root: str, read: Callable[[SparkSession, str], DataFrame]
 ) -> None:
-    """Fold the log of a store so that readers start from there.
+    """Fold the log of a store so that readers start from there, and drop what was folded.
 
     ``read`` is :func:`read_scored` or :func:`read_frontier`. The new version carries the number of
-    the last batch in it; call this between micro-batches.
+    the last batch in it; call this between micro-batches, while nobody reads.
     """
-    last = _read_log(spark, root, -1).agg(F.max("batch_id")).first()[0]
-    write_table(read(spark, root), f"{root}/{FOLDED}", version=last)
+    numbers = committed_numbers(spark, f"{root}/{LOG}", "batch_id")
+    if not numbers:
+        return
+    write_table(read(spark, root), f"{root}/{FOLDED}", version=numbers[-1])
+    for n in numbers:
+        drop_path(spark, f"{root}/{LOG}/batch_id={n}")
 
 
 def stream_dedup(captures: DataFrame, delay: str | None = None) -> DataFrame:
     """Streaming captures without repeated bodies; which copy stays depends on arrival.
 
-    Seen hashes are kept for the life of the stream. With ``delay`` (needs ``captured_at``)
-    they expire, which bounds the state and lets a copy through that comes later than that.
+    Hash and size stand for the body: the page text goes no further than the scan. Seen hashes are kept for the
+    life of the stream. With ``delay`` (needs ``captured_at``) they expire, which bounds the state and lets a copy
+    through that comes later than that.
     """
-    hashed = captures.withColumn("hash", F.md5("html"))
+    hashed = captures.withColumns(
+        {"hash": F.md5("html"), "size": F.octet_length("html").cast("long")}
+    ).drop("html")
     if delay is None:
         return hashed.dropDuplicates(["hash"])
     return hashed.withWatermark("captured_at", delay).dropDuplicatesWithinWatermark(["hash"])

@@ -17,7 +17,6 @@ def spark(tmp_path_factory):
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="8",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoint")),
-        spark__python__sql__dataFrameDebugging__enabled="false",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

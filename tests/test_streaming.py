@@ -104,7 +104,7 @@ def test_bounded_dedup(spark, split, tmp_path):
         .option("path", out).option("checkpointLocation", str(tmp_path / "checkpoint"))
         .trigger(availableNow=True).start()
     )
-    assert sorted(r.html for r in spark.read.parquet(out).collect()) == ["other", "same"]
+    assert spark.read.parquet(out).count() == 2
 
 
 def test_frontier_equals_batch(spark, split, tmp_path):
@@ -116,10 +116,71 @@ def test_frontier_equals_batch(spark, split, tmp_path):
         return frontier_rows(extract_scored_links(captures), F.lit(1), at)
 
     _finish(streams.stream_frontier(rows(stream), root, str(tmp_path / "checkpoint")))
-    expected = add_to_frontier(spark.createDataFrame([], FRONTIER), rows(batch))
-    assert _rows(streams.read_frontier(spark, root)) == _rows(expected)
+    # The first batch that has a URL decides, and among its rows the smallest.
+    log = spark.read.parquet(f"{root}/log").withColumn("seq", F.col("batch_id").cast("long"))
+    assert log.select("batch_id").distinct().count() == 4
+    expected = _rows(add_to_frontier(spark.createDataFrame([], FRONTIER), log))
+    assert {r.url for r in log.collect()} == {r.url for r in rows(batch).collect()}
+    assert _rows(streams.read_frontier(spark, root)) == expected
     streams.compact(spark, root, streams.read_frontier)
-    assert _rows(streams.read_frontier(spark, root)) == _rows(expected)
+    assert _rows(streams.read_frontier(spark, root)) == expected
+    assert not list((tmp_path / "frontier" / "log").glob("batch_id=*"))
+
+
+def test_the_first_batch_keeps_a_url(spark, tmp_path):
+    root = str(tmp_path / "frontier")
+
+    def load(n, *rows):
+        path = str(tmp_path / "input")
+        df = spark.createDataFrame(
+            [(u, p, d, None, None, 1, s, None) for u, p, d, s in rows], FRONTIER
+        )
+        df.coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(FRONTIER).parquet(path)
+        _finish(streams.stream_frontier(stream, root, str(tmp_path / "checkpoint")))
+        return {(r.url, r.priority, r.depth, r.status)
+                for r in streams.read_frontier(spark, root).collect()}
+
+    load(0, ("a", 10, 3, "completed"))
+    assert load(1, ("a", 20, 1, "pending")) == {("a", 20, 3, "completed")}
+    streams.compact(spark, root, streams.read_frontier)
+    assert load(2, ("a", 30, 0, "pending")) == {("a", 30, 3, "completed")}
+
+
+def test_faults_replace_no_page(spark, tmp_path):
+    root, path = str(tmp_path / "store"), str(tmp_path / "input")
+    schema = "url string, html string, content_type string"
+
+    def load(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = captured_pages(spark.readStream.schema(schema).parquet(path))
+        _finish(streams.stream_score(stream, root, str(tmp_path / "checkpoint")))
+
+    load(("a", "<title>good</title>", "text/html"))
+    load(("a", None, "text/html"), ("b", "x", "image/png"), ("c", None, None))
+    assert [(r.url, r.title) for r in streams.read_scored(spark, root).collect()] == [("a", "good")]
+    assert {(r.url, r.reason) for r in streams.read_faults(spark, root).collect()} == {
+        ("a", "fetch_failed"), ("b", "irrelevant_content_type"), ("c", "fetch_failed"),
+    }
+
+
+def test_readers_see_committed_batches_only(spark, tmp_path):
+    root = tmp_path / "store"
+    assert streams.read_scored(spark, str(root)).count() == 0
+    assert streams.read_frontier(spark, str(root)).count() == 0
+    rows = page_rows(analyze_content(captured_pages(spark.read.parquet(PAGES))))
+    rows.write.parquet(f"{root}/log/batch_id=0")
+    rows.withColumn("url", F.concat("url", F.lit("x"))).write.parquet(f"{root}/log/batch_id=1")
+    assert streams.read_scored(spark, str(root)).count() == 100
+    (root / "log" / "batch_id=1" / "_SUCCESS").unlink()
+    assert streams.read_scored(spark, str(root)).count() == 50
+
+
+def test_dedup_moves_no_page_text(spark):
+    captures = spark.read.parquet(DOCUMENTS).select("doc_id", F.col("text").alias("html"))
+    kept = streams.stream_dedup(captures)
+    assert set(kept.columns) == {"doc_id", "hash", "size"}
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
 
 def _outcomes(spark):

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from linkloom.functions import report_texts as R, scoring as S, urls as U
 from linkloom.operators import content, dedup, frontier as FR, links as L, outcomes as O
@@ -526,71 +527,127 @@ def quality_report(spark, sf_dir):
 # --- streams -----------------------------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a file stream."""
-    schema = I.table(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+SLICES = 4
+
+
+def _in_batches(
+    spark: SparkSession, rows: DataFrame, place: Column, start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Feed a table to a stream in ``SLICES`` micro-batches; ``place`` (0 to SLICES - 1) says which row comes when."""
+    source = scratch_path(spark, "source")
+    for n in range(SLICES):
+        rows.filter(place == n).write.mode("append").parquet(source)
+        start(spark.readStream.schema(rows.schema).parquet(source)).awaitTermination()
+
 
+def _page_slice(pages: DataFrame) -> Column:
+    top = pages.agg(F.max("page_id")).first()[0]
+    return F.floor(F.col("page_id") * SLICES / F.lit(top + 1))
 
-def _run_to_end(spark: SparkSession, stream: DataFrame, label: str, mode: str) -> DataFrame:
-    """Run a stream to its end and return its sink table."""
-    root = scratch_path(spark, label)
+
+def _sink(stream: DataFrame, root: str, mode: str) -> StreamingQuery:
+    """One micro-batch of a stream into the table below ``root``; a complete result replaces the one before."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         target = f"{root}/out" if mode == "complete" else f"{root}/out/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(target)
 
-    running = (
+    return (
         stream.writeStream.outputMode(mode).foreachBatch(write)
         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     )
-    running.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
 
 
 @query
 def stream_score(spark, sf_dir):
-    root = scratch_path(spark, "score")
-    captures = as_captures(_stream(spark, sf_dir, "pages"))
-    streams.stream_score(captures, root, f"{root}/checkpoint").awaitTermination()
+    root, pages = scratch_path(spark, "score"), I.table(spark, sf_dir, "pages")
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        return streams.stream_score(as_captures(stream), root, f"{root}/checkpoint")
+
+    _in_batches(spark, pages, _page_slice(pages), start)
     return streams.read_scored(spark, root).select(
         "page_id", "url", "title", "size", "hash", "importance_score", "content_quality",
         "link_density",
     )
 
 
+@query
+def stream_score_faults(spark, sf_dir):
+    """A stream with failed fetches, irrelevant types and pages captured again: what is stored of it, and what isn't."""
+    root, captures = scratch_path(spark, "faults"), I.mixed_captures(spark, sf_dir)
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        return streams.stream_score(stream, root, f"{root}/checkpoint")
+
+    source = F.floor(F.col("seq") / 1_000_000_000)
+    _in_batches(spark, captures, F.when(source == 0, F.col("seq") % 2).otherwise(source + 1), start)
+    stored_rows = streams.read_scored(spark, root).select(
+        "url", "size", "hash", long("depth"), F.lit(None).cast("string").alias("reason")
+    )
+    faults = streams.read_faults(spark, root).select(
+        "url", F.lit(None).cast("long").alias("size"), F.lit(None).cast("string").alias("hash"),
+        F.lit(None).cast("long").alias("depth"), "reason",
+    )
+    return stored_rows.unionByName(faults)
+
+
 @query
 def stream_dedup(spark, sf_dir):
-    documents = _stream(spark, sf_dir, "documents").withColumnRenamed("text", "html")
-    kept = streams.stream_dedup(documents).select("hash", F.octet_length("html").alias("size"))
-    return _run_to_end(spark, kept, "dedup", "append").select("hash", long("size"))
+    root = scratch_path(spark, "dedup")
+    documents = I.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("html"))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        return _sink(streams.stream_dedup(stream).select("hash", "size"), root, "append")
+
+    _in_batches(spark, documents, F.pmod("doc_id", F.lit(SLICES)), start)
+    return spark.read.parquet(f"{root}/out").select("hash", long("size"))
 
 
 @query
 def stream_frontier(spark, sf_dir):
-    root = scratch_path(spark, "frontier")
-    links = L.extract_scored_links(as_captures(_stream(spark, sf_dir, "pages")))
-    rows = FR.frontier_rows(links, F.lit(1), at(START))
-    streams.stream_frontier(rows, root, f"{root}/checkpoint").awaitTermination()
+    root, pages = scratch_path(spark, "frontier"), I.table(spark, sf_dir, "pages")
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        rows = FR.frontier_rows(L.extract_scored_links(as_captures(stream)), F.lit(1), at(START))
+        return streams.stream_frontier(rows, root, f"{root}/checkpoint")
+
+    _in_batches(spark, pages, _page_slice(pages), start)
     return _frontier_columns(streams.read_frontier(spark, root))
 
 
+def _event_slice(events: DataFrame) -> Column:
+    """Slices in the order of time."""
+    first, last = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    return F.floor((F.unix_micros("ts") - F.lit(first)) * SLICES / F.lit(last - first + 1))
+
+
 @query
 def stream_stats(spark, sf_dir):
-    stats = streams.stream_stats(I.event_outcomes(_stream(spark, sf_dir, "events")))
-    return _run_to_end(spark, stats, "stats", "complete")
+    root, events = scratch_path(spark, "stats"), _events(spark, sf_dir)
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        return _sink(streams.stream_stats(I.event_outcomes(stream)), root, "complete")
+
+    _in_batches(spark, events, _event_slice(events), start)
+    return spark.read.parquet(f"{root}/out")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query
 def stream_stats_windowed(spark, sf_dir):
-    """Hourly counters; a window is final once the watermark has passed it."""
-    stats = streams.stream_stats(
-        I.event_outcomes(_stream(spark, sf_dir, "events")), window="1 hour"
-    ).select(
-        F.unix_seconds("window.start").alias("window_start"), "strategy", "pages_processed",
-        "pages_skipped", "errors", "total_size",
-    )
-    return _run_to_end(spark, stats, "windows", "complete")
+    """Hourly counters of the windows that the watermark has closed."""
+    root, events = scratch_path(spark, "windows"), _events(spark, sf_dir)
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        stats = streams.stream_stats(I.event_outcomes(stream), window="1 hour").select(
+            F.unix_seconds("window.start").alias("window_start"), "strategy", "pages_processed",
+            "pages_skipped", "errors", "total_size",
+        )
+        return _sink(stats, root, "append")
+
+    _in_batches(spark, events, _event_slice(events), start)
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
