@@ -130,10 +130,6 @@ class Index:
 
 #: A word of lower-case letters up to U+00FF: one piece of the tokenizer's splitting, unchanged by its normalisation.
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+\Z")
-#: A full stop or comma right after a letter or digit: the tokenizer always cuts there.
-_CUT = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[.,])")
-
-
 def byte_letters() -> dict[int, int]:
     """The byte-level alphabet by its rule: printable Latin-1 stands for itself, the other bytes follow from U+0100 on."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -159,46 +155,74 @@ class WordCoder:
 
     @staticmethod
     def words(text: str | None) -> list[bytes]:
-        """Parts of a text that the tokenizer encodes independently of each other."""
+        """Parts of a text that the tokenizer encodes independently of each other. Lower case comes first, unless the text may hold
+        one of the tokenizer's special tokens, which are told by case."""
         raw = (text or "").encode()
-        return raw.split() if b"<|" in raw else _CUT.sub(b" ", raw.lower()).split()
-
-    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word. Plain words go to the model as the one piece that they are; other words go through the whole
-        tokenizer together, parted by one of its special tokens; words that may hold such a token go alone."""
-        out: list = [None] * len(words)
-        tokenize, alphabet, other = self.tokenizer.model.tokenize, self.alphabet, []
-        for i, word in enumerate(words):
-            if _LETTERS.match(word):
-                out[i] = [t.id for t in tokenize(word.decode("latin-1").translate(alphabet))]
-            elif b"<|" in word:
-                out[i] = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            else:
-                other.append(i)
-        for k in range(0, len(other), 2000):
-            part = other[k : k + 2000]
-            text = self.mark.join(words[i].decode() for i in part)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
-            cuts = np.flatnonzero(ids == self.mark_id)
-            for i, start, stop in zip(part, np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])):
-                out[i] = ids[start:stop]
-        return out
+        return raw.split() if b"<|" in raw else raw.lower().split()
+
+    def _plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, each of which is one piece for the model."""
+        tokenize, ids, sizes = self.tokenizer.model.tokenize, [], []
+        for word in words:
+            found = tokenize(word.decode() if word.isascii() else word.decode("latin-1").translate(self.alphabet))
+            ids.extend([t.id for t in found])
+            sizes.append(len(found))
+        return np.array(ids, np.uint32), np.array(sizes, np.int64)
+
+    def _full(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of other words: through the whole tokenizer together, parted by one of its special tokens."""
+        text = self.mark.join(w.decode() for w in words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = np.flatnonzero(ids == self.mark_id)
+        sizes = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+        return np.delete(ids, cuts), sizes
 
     def _add(self, words: list[bytes]) -> None:
-        encoded = self._encode(words)
-        sizes = np.array([len(x) for x in encoded], np.int64)
+        """Encode words that aren't known yet. A word of letters with a full stop or comma is encoded as the word and the mark: the
+        tokenizer always cuts there."""
+        plain, other, marked, alone = [], [], [], []
+        for w in words:
+            if _LETTERS.match(w):
+                plain.append(w)
+            elif w[-1] in b".," and _LETTERS.match(w, 0, len(w) - 1):
+                marked.append(w)
+            elif b"<|" in w:
+                alone.append(w)
+            else:
+                other.append(w)
+        plain = list(dict.fromkeys([*plain, *(w[:-1] for w in marked if w[:-1] not in self.slot)]))
+        self._store(plain, *self._plain(plain))
+        other += [m for m in (b".", b",") if marked and m not in self.slot and m not in other]
+        for k in range(0, len(other), 2000):
+            self._store(other[k : k + 2000], *self._full(other[k : k + 2000]))
+        for w in alone:
+            ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
+            self._store([w], ids, np.array([len(ids)]))
+        if marked:
+            core = np.fromiter((self.slot[w[:-1]] for w in marked), np.int64, len(marked))
+            sign = np.fromiter((self.slot[w[-1:]] for w in marked), np.int64, len(marked))
+            pairs = np.stack([core, sign], axis=1).ravel()
+            ids, sizes = self._gather(pairs)
+            self._store(marked, ids, sizes.reshape(-1, 2).sum(1))
+
+    def _store(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         known = len(self.slot)
         while known + len(words) > len(self.begin):
             self.begin, self.size = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.size, 2 * len(self.size))
-        total = int(sizes.sum())
-        while self.filled + total > len(self.flat):
+        while self.filled + len(ids) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.filled : self.filled + total] = np.concatenate(encoded)
+        self.flat[self.filled : self.filled + len(ids)] = ids
         self.size[known : known + len(words)] = sizes
         self.begin[known : known + len(words)] = self.filled + np.cumsum(sizes) - sizes
-        self.filled += total
+        self.filled += len(ids)
         self.slot.update(zip(words, range(known, known + len(words))))
 
+    def _gather(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in these slots, one after the other, and how many each has."""
+        sizes = self.size[slot]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.begin[slot] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)], sizes
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each has."""
         by_text = [self.words(t) for t in texts]
@@ -211,10 +235,8 @@ class WordCoder:
                 self.filled, unknown = 0, np.arange(len(words))
             self._add(list(dict.fromkeys([words[i] for i in unknown])))
             slot[unknown] = np.fromiter(map(self.slot.__getitem__, [words[i] for i in unknown]), np.int64, len(unknown))
-        sizes = self.size[slot]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.repeat(self.begin[slot] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        stops = np.concatenate([[0], ends])[np.cumsum([len(ws) for ws in by_text])] if by_text else np.zeros(0, np.int64)
+        ids, sizes = self._gather(slot)
+        stops = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([len(ws) for ws in by_text])] if by_text else np.zeros(0, np.int64)
         return ids, np.diff(np.concatenate([[0], stops]))
 
 
