@@ -244,7 +244,7 @@ def score_documents(docs: DataFrame, *, training: DataFrame | None = None, round
             unit = vocab.units(words)
             value = net.log_probs(contexts(unit, owner, np.arange(len(unit))), unit) - vocab.spread[unit]
             n = np.bincount(owner, minlength=batch.num_rows)
-            total = np.bincount(owner, value, minlength=batch.num_rows)
+            total = np.bincount(owner, value, minlength=batch.num_rows).astype(np.float64)  # whole numbers if there are no words
             mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
             yield pa.record_batch(
                 {"doc_id": batch.column("doc_id").cast(pa.int64()), "n_tokens": pa.array(n.astype(np.int64)), "log_prob": pa.array(total), "mean_log_prob": mean}
