@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,16 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import this package wherever the driver found it.
+
+    A cluster gets it with ``--py-files`` or ``addPyFile``, as any package.
+    """
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; all executors must be able to reach it.
 
