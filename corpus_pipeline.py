@@ -15,33 +15,38 @@ from linkloom.llm.near_dup import near_duplicates
 from linkloom.llm.quality_crf import keep_quality
 from linkloom.llm.queries import piece_digests
 from linkloom.llm.secrets import redact_secrets
-from linkloom.session import stored
+from linkloom.session import find_package, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the line labels accept."""
+    find_package(spark)
     return keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group, once; rows without an id stay as they are."""
+    find_package(spark)
     kept = near_duplicates(docs).where("kept").select("doc_id")
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
+    find_package(spark)
     found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id")
     return docs.join(found, "doc_id", "left_anti").select(docs.columns)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets cut out of their texts."""
+    find_package(spark)
     return redact_secrets(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of each document's ids, spans and decoded text."""
+    find_package(spark)
     return piece_digests(docs)
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm import decontaminate, language, masked_lm, near_dup, page_text, pieces, quality_crf, secrets, token_store, warc
+from linkloom.session import find_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
