@@ -6,7 +6,7 @@ travels in the plan as one constant map, so no Python worker is involved.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column, functions as F
@@ -16,6 +16,9 @@ from .bind import bind
 _PAIR, _ENTRY = "\u0001", "\u0002"
 # Looked at before the full table, which is a scan.
 _FREQUENT = {n + ";": html5[n + ";"] for n in ("amp", "quot", "lt", "gt", "nbsp")}
+# A text with no other references is decoded by plain replacements; the ampersand comes last, so nothing is decoded twice.
+_COMMON = {f"&{n};": html5[n + ";"] for n in ("quot", "lt", "gt", "nbsp", "copy", "middot", "amp")}
+_UNCOMMON = f"&(?!{'|'.join(n[1:] for n in _COMMON)})"
 _REPLACEMENT = "�"
 
 
@@ -134,6 +137,12 @@ def decode_all(texts: Column, attribute: bool = False) -> Column:
                 _decode_after_ampersand(piece, attribute)
             ),
         )
-        return F.when(F.contains(t, F.lit("&")), F.array_join(pieces, "")).otherwise(t)
+        return (
+            F.when(~F.contains(t, F.lit("&")), t)
+            .when(~t.rlike(_UNCOMMON), reduce(
+                lambda done, item: F.replace(done, F.lit(item[0]), F.lit(item[1])), _COMMON.items(), t
+            ))
+            .otherwise(F.array_join(pieces, ""))
+        )
 
     return F.transform(texts, decode)

@@ -130,13 +130,16 @@ def raw_text(marked: Column) -> Column:
     return F.when(has_raw, content).otherwise("")
 
 
-def body_of(marked: Column) -> Column:
-    """Part of a marked page that belongs to ``body``, also when the tag is left out."""
+def split_body(marked: Column) -> Column:
+    """A marked page cut at its first ``body`` tag: two parts, or one when the tag is left out."""
+    return F.split(marked, f"(?i){_BODY_TAG}", 2)
+
+
+def body_of(marked: Column, parts: Column) -> Column:
+    """Part of a marked page that belongs to ``body``, also when the tag is left out; ``parts`` is its
+    :func:`split_body`."""
     return (
-        F.when(
-            marked.rlike(f"(?i){_BODY_TAG}"),
-            F.regexp_replace(marked, rf"(?is)\A.*?{_BODY_TAG}", ""),
-        )
+        F.when(F.size(parts) == 2, parts[1])
         .when(
             marked.rlike(f"(?i){_HEAD_END}"),
             F.regexp_replace(marked, rf"(?is)\A.*?{_HEAD_END}", ""),

@@ -18,12 +18,15 @@ FEATURES = (
 
 
 def marked_pages(captures: DataFrame) -> DataFrame:
-    """Captures with the tokenised page in ``marked``; failed fetches have none."""
-    return captures.withColumn("marked", H.mark_tags(F.col("html")))
+    """Captures with the tokenised page in ``marked`` and its ``a`` elements in ``anchors``, which features and links
+    share; failed fetches have neither."""
+    return captures.withColumn("marked", H.mark_tags(F.col("html"))).withColumn(
+        "anchors", H.anchors_of(F.col("marked"))
+    )
 
 
 def with_features(marked: DataFrame) -> DataFrame:
-    """Add all :data:`FEATURES` to a table with ``html`` and ``marked``.
+    """Add all :data:`FEATURES` to a table with ``html``, ``marked`` and ``anchors``.
 
     Written as stages: what several features share is a column of an earlier stage, so each
     pass over the page text happens once.
@@ -31,8 +34,8 @@ def with_features(marked: DataFrame) -> DataFrame:
     m = F.col("marked")
     stage = marked.withColumns(
         {
-            "_body": H.body_of(m),
-            "_anchors": F.array_join(H.anchors_of(m), ""),
+            "_parts": H.split_body(m),
+            "_anchors": F.array_join("anchors", ""),
             "_tags": H.tag_sequence(m),
             "_title": H.title_source(m),
             "_breadcrumb": H.has_class(m, BREADCRUMB_CLASS, ("breadcrumb",)),
@@ -42,6 +45,7 @@ def with_features(marked: DataFrame) -> DataFrame:
             "has_social": H.has_class(m, SOCIAL_CLASS, SOCIAL_HINTS),
         }
     )
+    stage = stage.withColumn("_body", H.body_of(m, F.col("_parts")))
     body, anchors, tags = F.col("_body"), F.col("_anchors"), F.col("_tags")
     stage = stage.withColumns(
         {
@@ -91,4 +95,4 @@ def with_features(marked: DataFrame) -> DataFrame:
 
 def analyze_content(captures: DataFrame) -> DataFrame:
     """All features and scores per capture. Narrow output: the page text itself is dropped."""
-    return with_features(marked_pages(captures)).drop("html", "marked")
+    return with_features(marked_pages(captures)).drop("html", "marked", "anchors")

@@ -35,7 +35,7 @@ def _link(anchor: Column, base: Column, drop_same_page: bool) -> Column:
 
 
 def link_array(drop_same_page: bool) -> Column:
-    """Links of a marked page (columns ``url`` and ``marked``) in document order.
+    """Links of a marked page (columns ``url`` and ``anchors``) in document order.
 
     Links are finished inside the array, before it is exploded: a later filter on the link URL
     then tests a value and cannot make Spark resolve it a second time.
@@ -43,7 +43,7 @@ def link_array(drop_same_page: bool) -> Column:
     return bind(
         U.parse_url(F.col("url")),
         lambda base: F.transform(
-            H.anchors_of(F.col("marked")), lambda a: _link(a, base, drop_same_page)
+            F.col("anchors"), lambda a: _link(a, base, drop_same_page)
         ),
     )
 
@@ -76,7 +76,7 @@ def extract_scored_links(captures: DataFrame) -> DataFrame:
     """
     if "depth" not in captures.columns:
         captures = captures.withColumn("depth", F.lit(0))
-    pages = with_features(marked_pages(captures)).select(*PAGE_CONTEXT, "marked")
+    pages = with_features(marked_pages(captures)).select(*PAGE_CONTEXT, "anchors")
     return score_links(explode_links(pages, link_array(drop_same_page=True), PAGE_CONTEXT))
 
 
