@@ -33,6 +33,17 @@ def page_rows(analyzed: DataFrame) -> DataFrame:
     )
 
 
+def attach_content(pages: DataFrame, captures: DataFrame) -> DataFrame:
+    """Page rows with the text of their capture in ``content``.
+
+    Upserts move narrow rows; the text joins them once, at the end. ``captures`` has one row per URL; a page
+    without a capture has no content.
+    """
+    texts = captures.select("url", F.col("html").alias("content"))
+    columns = [c for c in pages.columns if c != "content"]
+    return pages.select(*columns).join(texts, "url", "left").select(*columns, "content")
+
+
 def _combined(log: DataFrame, version: str) -> DataFrame:
     """One row per URL: ``_latest`` and ``_first`` of the log. Copies are combined early.
 

@@ -94,6 +94,17 @@ def upsert_pages(spark, sf_dir):
     )
 
 
+@query
+def stored_content(spark, sf_dir):
+    """Stored pages with their text."""
+    captures = I.captures(spark, sf_dir)
+    pages = P.page_rows(content.analyze_content(captures))
+    return P.attach_content(pages, captures).select(
+        "page_id", "url", F.md5("content").alias("content_md5"),
+        F.octet_length("content").cast("long").alias("content_bytes"),
+    )
+
+
 @query
 def stored_table(spark, sf_dir):
     """A table written in two versions; readers see the second."""
