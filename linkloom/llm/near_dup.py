@@ -120,8 +120,9 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sketch, SKETCH)
 
 
-def texts_of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``doc_id, text`` of these ids, once each. A bitmap of the ids keeps other texts out of the shuffle."""
+def pair_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of all ids in the pairs, once each. A bitmap of the ids keeps other texts out of the shuffle."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     bitmap = docs.sparkSession.sparkContext.broadcast(key_bitmap(ids.select(F.xxhash64("doc_id").alias("key")), "key"))
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,11 +135,11 @@ def texts_of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return near.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
 
-def compared(pairs: DataFrame, docs: DataFrame, size: int, percent: int, differences: bool) -> DataFrame:
-    """Full comparison of the pairs (``a``, ``b``): ``linked``, that is ``100 * intersection >= percent * union``; and, if asked for, ``size``
+def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int, differences: bool) -> DataFrame:
+    """Full comparison of the pairs (``a``, ``b``) by their ``texts`` (one row per ``doc_id``; a stored table, so that both sides
+    of the joins are shuffled for them and AQE can split a centre with very many pairs): ``linked``, that is ``100 * intersection >= percent * union``; and, if asked for, ``size``
     of the set of ``b``, ``diff``, the elements in one set only, and ``probe``: a class that is linked to ``b`` but not to ``a`` has
     one of the first so many of them in its own difference, in any order."""
-    texts = texts_of_ids(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
@@ -172,13 +173,19 @@ def compared(pairs: DataFrame, docs: DataFrame, size: int, percent: int, differe
     return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(test, schema)
 
 
+def _apart(*keys: str) -> list:
+    """Grouping columns for the keys and a number that follows from the last. Spark takes the groups to be laid out by
+    all of these and shuffles both sides of a join on the keys alone, so that AQE can split a hot key of the other side."""
+    return [*keys, F.pmod(F.col(keys[-1]), F.lit(64)).alias("_apart")]
+
+
 def star_edges(member: DataFrame) -> DataFrame:
     """(``a``: centre, ``b``: class) for each class and the centres of its bucket mates, from (``bucket``, ``rep``)."""
-    size = member.groupBy("bucket").agg(F.count("*").alias("size"))
+    size = member.groupBy(*_apart("bucket")).agg(F.count("*").alias("size")).drop("_apart")
     weight = member.join(size, "bucket").groupBy("rep").agg(F.sum("size").alias("weight"))
     weighed = member.join(weight, "rep")
     rank = F.struct("weight", (-F.col("rep")).alias("neg"))
-    lead = weighed.groupBy("bucket").agg(F.max(rank).alias("lead"))
+    lead = weighed.groupBy(*_apart("bucket")).agg(F.max(rank).alias("lead")).drop("_apart")
     centre = member.join(lead, "bucket").groupBy("rep").agg((-F.max("lead")["neg"]).alias("centre"))
     near = member.join(centre, "rep").select("bucket", "centre").distinct()
     return member.join(near, "bucket").where("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
@@ -188,7 +195,7 @@ def side_pairs(star: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes around one centre that may be linked to each other though one isn't linked to the centre."""
     measures = ["linked", "size", "probe", F.size("diff").alias("n")]
     element = star.select("a", "b", F.explode("diff").alias("e"))
-    common = element.groupBy("a", "e").agg(F.count("*").alias("df")).where("df > 1")
+    common = element.groupBy(*_apart("a", "e")).agg(F.count("*").alias("df")).where("df > 1").drop("_apart")
     own = Window.partitionBy("a", "b")
     placed = (
         element.join(common, ["a", "e"]).join(star.select("a", "b", *measures), ["a", "b"])
@@ -245,15 +252,17 @@ def near_duplicates(docs: DataFrame, *, size: int = WORDS, percent: int = PERCEN
         sketch.where("bands is not null").groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes"
     )
     member = classes.select("rep", F.explode("bands").alias("bucket"))
-    full = member.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("bucket")
+    full = member.groupBy(*_apart("bucket")).agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("bucket")
     member, member_path = stored(member.join(full, "bucket"), "members")
     edges, edge_path = stored(star_edges(member), "edges")
-    star, star_path = stored(compared(edges, docs, size, percent, True), "stars")
+    texts, text_path = stored(pair_texts(edges, docs), "texts")
+    star, star_path = stored(compared(edges, texts, size, percent, True), "stars")
     tested = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     side, side_path = stored(side_pairs(star, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
-    links = star.where("linked").select("a", "b").union(compared(side, docs, size, percent, False).where("linked").select("a", "b"))
-    label, _ = components(spark, links)
-    for path in (member_path, edge_path, star_path, side_path):
+    # Every class of a side pair is on a star, so its text is at hand.
+    found = compared(side, texts, size, percent, False).where("linked").select("a", "b")
+    label, _ = components(spark, star.where("linked").select("a", "b").union(found))
+    for path in (member_path, edge_path, text_path, star_path, side_path):
         drop_path(spark, path)
     place = classes.select(*sets, "rep").join(label.withColumnRenamed("doc_id", "rep"), "rep", "left").select(*sets, F.coalesce("label", "rep").alias("component_id"))
     one = sketch.groupBy("doc_id").agg(F.min(F.struct(*sets)).alias("s")).select("doc_id", "s.*")

@@ -119,7 +119,7 @@ def test_hot_group_makes_few_pairs(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     classes = N.sketches(df, 4).selectExpr("doc_id as rep", "explode(bands) as bucket")
     edges = N.star_edges(classes)
-    star = N.compared(edges, df, 4, 80, True)
+    star = N.compared(edges, N.pair_texts(edges, df), 4, 80, True)
     assert edges.count() < 20 * 600
     assert N.side_pairs(star, 80).count() < 20 * 600
 
