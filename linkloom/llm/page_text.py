@@ -16,6 +16,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,10 +37,11 @@ MEASURES = 7
 EPOCHS = 14
 RATE = 0.01
 SLICE_BYTES = 1 << 20
+OUTER, INNER, MARKS = 8, 32, 30  # of a very deep path: its outermost and innermost elements; and attribute words of an element
 
 SCHEMA = "page_id long, url string, text string, n_blocks int, n_main_blocks int"
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<rest>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^<>]*>", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[A-Za-z0-9]+")
 
@@ -71,29 +73,30 @@ class _Parser:
     stack: list[tuple[str, tuple[str, ...]]] = field(default_factory=list)
     text: list[str] = field(default_factory=list)
     linked: int = 0
-    links: int = 0
+    opened: Counter = field(default_factory=Counter)  # names on the stack
 
     def flush(self) -> None:
         if self.text:
             found = " ".join(html.unescape("".join(self.text)).split())
             if found:
-                path = tuple(x for name, marks in self.stack if name not in INLINE for x in (f"<{name}", *marks))
+                above = self.stack if len(self.stack) <= OUTER + INNER else [*self.stack[:OUTER], *self.stack[-INNER:]]
+                path = tuple(x for name, marks in above if name not in INLINE for x in (f"<{name}", *marks))
                 self.blocks.append(Block(found, path, self.linked))
             self.text, self.linked = [], 0
 
     def close(self, name: str) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
+        for k in () if not self.opened[name] else range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == name:
                 if name not in INLINE:
                     self.flush()
-                self.links -= sum(x[0] == "a" for x in self.stack[k:])
+                self.opened.subtract(x[0] for x in self.stack[k:])
                 del self.stack[k:]
                 return
         if name not in INLINE:
             self.flush()
 
     def open(self, name: str, rest: str) -> None:
-        if name in ENDS_P and any(x[0] == "p" for x in self.stack):
+        if name in ENDS_P and self.opened["p"]:
             self.close("p")
         if name not in INLINE:
             self.flush()
@@ -110,8 +113,8 @@ class _Parser:
                 marks += [w.lower() for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value))]
                 if m[1].lower() == "hidden":
                     marks.append("hidden")
-        self.stack.append((name, tuple(marks)))
-        self.links += name == "a"
+        self.stack.append((name, tuple(marks[:MARKS])))
+        self.opened[name] += 1
 
     def feed(self, page: str) -> list[Block]:
         at = 0
@@ -122,7 +125,7 @@ class _Parser:
                 part = part[: part.rindex("<")]  # the page ends inside a tag
             if part:
                 self.text.append(part)
-                if self.links:
+                if self.opened["a"]:
                     self.linked += len(part)
             if not m:
                 self.flush()
