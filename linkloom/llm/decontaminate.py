@@ -27,6 +27,7 @@ from pyspark.sql.window import Window
 
 from linkloom.llm.bitmaps import key_bitmap, maybe_in
 from linkloom.llm.textcols import Texts, mix, slices, texts_of, windows
+from linkloom.session import stored
 
 WINDOW = 8
 MIN_WORDS = 12
@@ -183,7 +184,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, size: int = WINDOW, leas
     Null and empty texts match nothing, an empty benchmark leaves no row, repeated rows count once, and rows
     without an id are not looked at. Other columns are ignored.
     """
-    known = benchmark_windows(items, size)
+    known, _ = stored(benchmark_windows(items, size), "windows")  # used twice, and shuffled anew for the join: AQE can split a hot window
     hits = matching_windows(docs, known, size).distinct().join(known, ["key", "form", "size"])
     aligned = hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "n_words", "size").agg(
         F.array_sort(F.collect_set("pos")).alias("pos"),
