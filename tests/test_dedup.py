@@ -4,7 +4,6 @@ from collections import defaultdict
 from linkloom.operators.dedup import (
     drop_duplicate_content, similar_by_hash, similar_content,
 )
-from pyspark.sql import functions as F
 
 
 def _pages(n=600, seed=3):
