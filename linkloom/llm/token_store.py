@@ -35,7 +35,7 @@ from linkloom.session import scratch_path, stored
 
 MAGIC = b"LKIX0001"
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 BITS_PER_KEY = 2
 MAX_LEVELS = 64
 READ_IDS = 1 << 21
