@@ -11,8 +11,9 @@ unbroken run, or a whole item that is shorter.
 
 Scale: benchmark windows set bits in a bitmap of fixed size (8 MB whatever the benchmark's
 size), which is shared with all tasks; documents emit only windows that hit it. What the bitmap lets through
-is joined exactly by the window's text. Each distinct window stands for one item only (the smallest id that has it), so a
-window that many items share multiplies nothing, and no pairs of documents and items are enumerated.
+is joined exactly by the window's text, first once per window, whatever the number of items that have it. Only documents whose
+windows cover enough words together, or a short item, are then held against every item that has the window. Items with
+the same text are one.
 """
 
 from __future__ import annotations
@@ -115,41 +116,43 @@ def _unit_keys() -> np.ndarray:
     return Texts(np.frombuffer(data, np.uint8), np.array([0, len(data)])).hashes(ends - [len(u) for u in UNITS], ends)
 
 
-WINDOWS = "item_id long, n_words int, pos int, size int, key long, form string, slots array<string>"
+WINDOWS = "item_id long, n_words int, item_pos int, size int, key long, form string, item_slots array<string>"
 HITS = "doc_id long, pos int, size int, key long, form string, slots array<string>"
+PASSAGES = "doc_id long, item_id long, covered int, whole boolean, same boolean, kept array<struct<at: int, size: int>>"
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = {"item_id": pa.int64(), "doc_id": pa.int64(), "key": pa.int64(), "form": pa.string(), "slots": pa.list_(pa.string())}
+    text = pa.list_(pa.string())
+    kinds = {"item_id": pa.int64(), "doc_id": pa.int64(), "key": pa.int64(), "form": pa.string(), "slots": text, "item_slots": text}
     return pa.record_batch({k: pa.array([r[i] for r in rows], kinds.get(k, pa.int32())) for i, k in enumerate(names)})
 
 
-def benchmark_windows(items: DataFrame, size: int) -> DataFrame:
-    """One row per distinct window of the benchmark, held by its smallest (item, position)."""
+def benchmark_windows(items: DataFrame, size: int, least: int) -> DataFrame:
+    """All windows of all items; items with the same text count once, as the smallest id. An item of fewer than ``least`` words
+    is a window of its own length too, so that finding it whole is one match."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 17):
             template = Template(texts_of(batch.column("text")))
             begin = np.concatenate([[0], np.cumsum(template.length)])
             ids, rows = batch.column("item_id").to_pylist(), []
-            for length in sorted({min(size, int(n)) for n in template.length if n}):
+            for length in sorted({s for n in template.length.tolist() if n for s in (min(size, n), n if n < least else size) if s <= n}):
                 at, keys = windows(template.key, template.owner, length)
                 for p, key in zip(at.tolist(), keys.view(np.int64).tolist()):
                     i = int(template.owner[p])
                     n = int(template.length[i])
-                    if min(size, n) == length and (found := template.window(p, length)):
+                    if (length == min(size, n) or length == n < least) and (found := template.window(p, length)):
                         rows.append((ids[i], n, p - int(begin[i]), length, key, *found))
-            yield _batch(rows, ["item_id", "n_words", "pos", "size", "key", "form", "slots"])
+            yield _batch(rows, ["item_id", "n_words", "item_pos", "size", "key", "form", "item_slots"])
 
-    every = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null").mapInArrow(cut, WINDOWS)
-    held = F.min(F.struct(F.col("item_id"), F.col("pos").alias("item_pos"), "n_words", F.col("slots").alias("item_slots"))).alias("o")
-    return every.groupBy("key", "form", "size").agg(held).select("key", "form", "size", "o.*")
+    distinct = items.where("item_id is not null").groupBy("text").agg(F.min(F.col("item_id").cast("long")).alias("item_id"))
+    return distinct.select("item_id", "text").mapInArrow(cut, WINDOWS)
 
 
 def matching_windows(docs: DataFrame, known: DataFrame, size: int) -> DataFrame:
     """Windows of the documents that may be in the benchmark: all that are, and a few others."""
     bitmap = docs.sparkSession.sparkContext.broadcast(key_bitmap(known, "key"))
-    sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # 1 to ``size`` at most
+    sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # no more than the words of the longest window
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
@@ -169,50 +172,82 @@ def matching_windows(docs: DataFrame, known: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(look_up, HITS)
 
 
-def _covered(positions: str, size: str) -> str:
-    """SQL: words covered by windows of ``size`` words at the sorted ``positions``."""
-    return (
-        f"aggregate(sequence(0, size({positions}) - 1), 0, (n, i) -> n + "
-        f"if(i + 1 < size({positions}), least({size}, {positions}[i + 1] - {positions}[i]), {size}))"
-    )
+def _covered(kept: list[tuple[int, int]]) -> int:
+    """Words covered by the windows (position, size) in ``kept``, sorted."""
+    total, reach = 0, -1
+    for at, size in kept:
+        total += max(0, at + size - max(at, reach))
+        reach = max(reach, at + size)
+    return total
+
+
+def consistent(pairs: set[tuple[str, str]]) -> bool:
+    """Whether every benchmark value always stands for the same document value."""
+    return len({a for a, _ in pairs}) == len(pairs)
+
+
+def judge(found: list[dict], n_words: int, least: int) -> tuple[int, bool, bool, list[tuple[int, int]]] | None:
+    """Windows of one document and one item in step: words covered by those that hold, whether that's enough, whether no
+    slot changed its value, and the windows that hold."""
+    held: dict[tuple[int, int], set[tuple[str, str]]] = {(w["pos"], w["size"]): set(zip(w["item_slots"], w["slots"])) for w in found}
+    if not consistent(set().union(*held.values())):
+        return None
+    kept = sorted(held)
+    covered = _covered(kept)
+    return covered, covered >= min(least, n_words), all(a == b for w in kept for a, b in held[w]), kept
 
 
 def contamination(docs: DataFrame, items: DataFrame, *, size: int = WINDOW, least: int = MIN_WORDS) -> DataFrame:
     """One row per contaminated ``doc_id`` of ``docs`` (``doc_id``, ``text``): ``n_covered`` (most words covered at once),
-    ``verbatim`` (no slot changed its value in some passage) and ``item_ids`` (sorted; the smallest id for windows that items share).
+    ``verbatim`` (no slot changed its value in some passage) and ``item_ids`` (sorted; the smallest id of items with the same text).
 
     Null and empty texts match nothing, an empty benchmark leaves no row, repeated rows count once, and rows
     without an id are not looked at. Other columns are ignored.
     """
-    known, _ = stored(benchmark_windows(items, size), "windows")  # used twice, and shuffled anew for the join: AQE can split a hot window
-    hits = matching_windows(docs, known, size).distinct().join(known, ["key", "form", "size"])
-    aligned = hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "n_words", "size").agg(
-        F.array_sort(F.collect_set("pos")).alias("pos"),
-        F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots")))).alias("values"),
-    )
-    passages = (
-        aligned.where("size(values) = size(array_distinct(transform(values, v -> v.item_slots)))")
-        .withColumn("covered", F.expr(_covered("pos", "size")))
-        .withColumn("same", F.expr("forall(values, v -> v.item_slots = v.slots)"))
-    )
-    by_doc = Window.partitionBy("doc_id").orderBy("at")
-    windows_of = passages.select("doc_id", F.explode("pos").alias("at"), "size").groupBy("doc_id", "at").agg(F.max("size").alias("size"))
-    # A run: windows of the same document that touch or overlap, whatever items they come from.
-    reach = F.max(F.col("at") + F.col("size")).over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
-    runs = (
-        windows_of.withColumn("fresh", F.when(F.col("at") <= reach, 0).otherwise(1))
-        .withColumn("run", F.sum("fresh").over(by_doc))
-        .groupBy("doc_id", "run").agg((F.max(F.col("at") + F.col("size")) - F.min("at")).alias("covered"))
-        .groupBy("doc_id").agg(F.max("covered").alias("run_words"))
+    known, _ = stored(benchmark_windows(items, size, least), "windows")  # shuffled anew for each join: AQE can split a hot window
+    forms = known.groupBy("key", "form", "size").agg(F.max(F.col("size") >= F.least(F.lit(least), "n_words")).alias("enough"))
+    by_doc = Window.partitionBy("doc_id").orderBy("pos")
+    before = F.max(F.col("pos") + F.col("size")).over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
+    of_doc = Window.partitionBy("doc_id")
+    # Forms first: a document whose windows can't make a passage, whatever items they come from, is not held against items.
+    hits = (
+        matching_windows(docs, known, size).distinct().join(forms, ["key", "form", "size"])
+        .withColumn("new", F.greatest(F.lit(0), F.col("pos") + F.col("size") - F.greatest("pos", F.coalesce(before, F.lit(0)))))
+        .withColumn("total", F.sum("new").over(of_doc)).withColumn("enough", F.max("enough").over(of_doc))
+        .where((F.col("total") >= least) | F.col("enough")).drop("new", "total", "enough")
     )
+    aligned = hits.join(known, ["key", "form", "size"]).groupBy(
+        "doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "n_words"
+    ).agg(F.collect_list(F.struct("pos", "size", "item_slots", "slots")).alias("found"))
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in PASSAGES.split(", ")[:5]]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_()]
+        windows_type = pa.list_(pa.struct([("at", pa.int32()), ("size", pa.int32())]))
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                rows = []
+                for r in batch.slice(start, 256).to_pylist():
+                    if judged := judge(r["found"], r["n_words"], least):
+                        rows.append((r["doc_id"], r["item_id"], *judged[:3], [{"at": a, "size": s} for a, s in judged[3]]))
+                columns = {n: pa.array([r[i] for r in rows], kinds[i]) for i, n in enumerate(names)}
+                yield pa.record_batch({**columns, "kept": pa.array([r[5] for r in rows], windows_type)})
+
+    passages = aligned.mapInArrow(hold, PASSAGES)
+    # A run: windows of the same document that touch or overlap, whatever items they come from. Runs and passages are taken from one
+    # reading: a row per passage, and its windows.
     per_doc = passages.groupBy("doc_id").agg(
         F.max("covered").alias("passage_words"),
-        F.max(F.col("covered") >= F.least(F.lit(least), "n_words")).alias("whole"),
+        F.max("whole").alias("whole"),
         F.max("same").alias("verbatim"),
         F.array_sort(F.collect_set("item_id")).alias("item_ids"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("kept")))).alias("kept"),
     )
+    run = "if(w.at <= r.reach, named_struct('start', r.start, 'reach', greatest(r.reach, w.at + w.size), 'most', greatest(r.most, w.at + w.size - r.start)), "
+    run += "named_struct('start', w.at, 'reach', w.at + w.size, 'most', greatest(r.most, w.size)))"
+    longest = F.expr(f"aggregate(kept, named_struct('start', 0, 'reach', -1, 'most', 0), (r, w) -> {run}, r -> r.most)")
     return (
-        per_doc.join(runs, "doc_id").where((F.col("whole")) | (F.col("run_words") >= least))
+        per_doc.withColumn("run_words", longest).where(F.col("whole") | (F.col("run_words") >= least))
         .select("doc_id", F.greatest("passage_words", "run_words").alias("n_covered"), "verbatim", "item_ids")
     )
 

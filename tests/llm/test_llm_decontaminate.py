@@ -73,6 +73,17 @@ def test_against_brute_force(spark):
     assert {i for i, r in got.items() if r.contaminated} == leaked
 
 
+def test_items_that_share_windows(spark):
+    """A copy is held against its own item, whatever others have the same form or the same words in front."""
+    family = [(1, ITEMS[1][1]), (2, "We see Tom has 5 apples and 7 pears and 8 plums in the big basket of Tom now")]
+    long = "the quick brown fox jumps over lazy dogs while many other small animals watch from behind a tall green hedge near our house"
+    short = [(3, long), (4, "the quick brown fox jumps over lazy dogs"), (5, "other small animals watch from behind a tall red fence")]
+    docs = [(1, "So. " + family[1][1] + " and on"), (2, "so the quick brown fox jumps over lazy dogs again"), (3, "all other small animals watch from behind a tall red fence again")]
+    got = found(spark, docs, family + short)
+    assert [got[i].contaminated for i in (1, 2, 3)] == [True] * 3
+    assert got[1].item_ids == [2] and got[1].verbatim and 4 in got[2].item_ids and 5 in got[3].item_ids
+
+
 def test_given_benchmark(spark):
     root = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{root}/documents.parquet"), spark.read.parquet(f"{root}/benchmark.parquet")
