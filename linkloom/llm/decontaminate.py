@@ -4,7 +4,8 @@ Texts become sequences of template words: numbers turn into ``<num>``, units aft
 a sentence into ``<name>``; other words lose case and edge punctuation. Windows of ``WINDOW`` template words of the
 documents are hash-joined with those of the benchmark. A match is then held against the slots: within
 one aligned passage every benchmark value must always stand for the same document value, so a question that was
-given other numbers and names is caught, while a text that only shares the form is not.
+given other numbers and names is caught, while a text that only shares the form is not. Windows with another value than the
+usual one are left out, those that stand there word for word always count.
 
 A document is contaminated if consistent windows cover ``MIN_WORDS`` template words of one item in step, or of one
 unbroken run, or a whole item that is shorter.
@@ -18,6 +19,7 @@ the same text are one.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -181,20 +183,56 @@ def _covered(kept: list[tuple[int, int]]) -> int:
     return total
 
 
-def consistent(pairs: set[tuple[str, str]]) -> bool:
-    """Whether every benchmark value always stands for the same document value."""
-    return len({a for a, _ in pairs}) == len(pairs)
+def _majority(held: dict[tuple[int, int], set[tuple[str, str]]]) -> dict[str, str]:
+    """The document value that each benchmark value stands for most often; the same value, then the smallest, on a tie."""
+    votes = Counter(pair for pairs in held.values() for pair in pairs)
+    best: dict[str, str] = {}
+    for (a, b), _ in sorted(votes.items(), key=lambda v: (v[1], v[0][0] == v[0][1], v[0][::-1])):
+        best[a] = b
+    return best
+
+
+def _stretch(held: dict[tuple[int, int], set[tuple[str, str]]]) -> list[tuple[int, int]]:
+    """The longest unbroken run of windows in which every benchmark value always stands for the same document value."""
+    order, values, best = sorted(held), {}, (0, 0, 0)
+    start = clashes = 0
+    for i, w in enumerate(order):
+        if i and w[0] > order[i - 1][0] + order[i - 1][1]:
+            start, values, clashes = i, {}, 0
+        for a, b in held[w]:
+            seen = values.setdefault(a, Counter())
+            clashes += not seen[b] and bool(seen)
+            seen[b] += 1
+        while clashes:
+            for a, b in held[order[start]]:
+                values[a][b] -= 1
+                if not values[a][b]:
+                    del values[a][b]
+                    clashes -= bool(values[a])
+            start += 1
+        if start <= i:
+            best = max(best, (w[0] + w[1] - order[start][0], start, i + 1))
+    return order[best[1] : best[2]]
 
 
 def judge(found: list[dict], n_words: int, least: int) -> tuple[int, bool, bool, list[tuple[int, int]]] | None:
     """Windows of one document and one item in step: words covered by those that hold, whether that's enough, whether no
-    slot changed its value, and the windows that hold."""
-    held: dict[tuple[int, int], set[tuple[str, str]]] = {(w["pos"], w["size"]): set(zip(w["item_slots"], w["slots"])) for w in found}
-    if not consistent(set().union(*held.values())):
+    slot changed its value in them or in enough of them, and the windows that hold.
+
+    A window holds if its slots have the document's values, or if each has the value that the benchmark value mostly stands for;
+    in an unbroken run long enough, each may stand for another value than elsewhere.
+    """
+    held = {(w["pos"], w["size"]): set(zip(w["item_slots"], w["slots"])) for w in found}
+    mostly = _majority(held)
+    equal = sorted(w for w, pairs in held.items() if all(a == b for a, b in pairs))
+    kept = sorted({*equal, *(w for w, pairs in held.items() if all(mostly[a] == b for a, b in pairs))})
+    enough = min(least, n_words)
+    if _covered(stretch := _stretch(held)) >= enough:
+        kept = sorted({*kept, *stretch})
+    if not kept:
         return None
-    kept = sorted(held)
     covered = _covered(kept)
-    return covered, covered >= min(least, n_words), all(a == b for w in kept for a, b in held[w]), kept
+    return covered, covered >= enough, len(equal) == len(kept) or _covered(equal) >= enough, kept
 
 
 def contamination(docs: DataFrame, items: DataFrame, *, size: int = WINDOW, least: int = MIN_WORDS) -> DataFrame:

@@ -81,7 +81,39 @@ def test_items_that_share_windows(spark):
     docs = [(1, "So. " + family[1][1] + " and on"), (2, "so the quick brown fox jumps over lazy dogs again"), (3, "all other small animals watch from behind a tall red fence again")]
     got = found(spark, docs, family + short)
     assert [got[i].contaminated for i in (1, 2, 3)] == [True] * 3
-    assert got[1].item_ids == [2] and got[1].verbatim and 4 in got[2].item_ids and 5 in got[3].item_ids
+    assert 2 in got[1].item_ids and got[1].verbatim and 4 in got[2].item_ids and 5 in got[3].item_ids
+
+
+def test_one_changed_value(spark):
+    """A long copy with one of two equal values changed is found; a text that only shares the form is not."""
+    words = [f"w{k}" for k in range(100)]
+    other = [*words]
+    words[20] = words[70] = "5"
+    other[20], other[70] = "5", "6"
+    new = [*words]
+    new[20], new[70] = "7", "8"
+    got = found(spark, [(1, " ".join(other)), (2, " ".join(new))], [(1, " ".join(words))])
+    assert got[1].contaminated and got[1].verbatim and got[1].n_covered >= 80
+    assert got[2].contaminated
+    forms = [{"pos": k, "size": 8, "item_slots": ["5", "3"], "slots": [str(k), "3"]} for k in range(8)]
+    assert not D.judge(forms, 30, 12)[1]
+
+
+def test_runs_that_hold():
+    """The longest consistent run against all runs tried out."""
+    rng = random.Random(1)
+    for _ in range(300):
+        held = {(at, 4): {(rng.choice("ab"), rng.choice("xxxy"))} for at in sorted(rng.sample(range(40), 20))}
+        order, most = sorted(held), 0
+        for i in range(len(order)):
+            for j in range(i, len(order)):
+                if j > i and order[j][0] > order[j - 1][0] + 4:
+                    break
+                pairs = set().union(*(held[w] for w in order[i : j + 1]))
+                if len({a for a, _ in pairs}) == len(pairs):
+                    most = max(most, order[j][0] + 4 - order[i][0])
+        got = D._stretch(held)
+        assert got[-1][0] + 4 - got[0][0] == most
 
 
 def test_given_benchmark(spark):
