@@ -5,7 +5,8 @@ a sentence into ``<name>``; other words lose case and edge punctuation. Windows
 documents are hash-joined with those of the benchmark. A match is then held against the slots: within
 one aligned passage every benchmark value must always stand for the same document value, so a question that was
 given other numbers and names is caught, while a text that only shares the form is not. Windows with another value than the
-usual one are left out, those that stand there word for word always count.
+usual one are left out, those that stand there word for word always count. A benchmark window with fewer than ``MIN_PLAIN`` different
+plain words (numbers and names, mostly) matches only the same words.
 
 A document is contaminated if consistent windows cover ``MIN_WORDS`` template words of one item in step, or of one
 unbroken run, or a whole item that is shorter.
@@ -97,6 +98,7 @@ class Template:
             unit[1:] = number[:-1] & np.isin(self.key[1:], _unit_keys()) & (self.owner[1:] == self.owner[:-1])
         self.kind = np.where(number, NUM, np.where(unit, UNIT, np.where(titled & ~opens, NAME, PLAIN)))
         marks = mix(np.arange(1, 5, dtype=np.uint64))
+        self.literal = mix(self.key ^ marks[0])
         self.key = np.where(self.kind > 0, marks[self.kind], self.key)
         self.length = np.bincount(self.owner, minlength=len(texts))
 
@@ -111,6 +113,14 @@ class Template:
             return None
         return " ".join(MARKS[k] or w for w, k in zip(words, kinds)), [w for w, k in zip(words, kinds) if k]
 
+    def exact(self, at: int, size: int) -> tuple[str, list[str]] | None:
+        """A window as it stands, for those with few plain words: it matches the same words only. None if it has less than two
+        different words other than punctuation (rules, dot leaders, a single number)."""
+        words = [self.word(i) for i in range(at, at + size)]
+        if len({w for w in words if any(c.isalnum() for c in w)}) < 2:
+            return None
+        return "= " + " ".join(words), []
+
 
 def _unit_keys() -> np.ndarray:
     data = "".join(UNITS).encode()
@@ -140,11 +150,15 @@ def benchmark_windows(items: DataFrame, size: int, least: int) -> DataFrame:
             ids, rows = batch.column("item_id").to_pylist(), []
             for length in sorted({s for n in template.length.tolist() if n for s in (min(size, n), n if n < least else size) if s <= n}):
                 at, keys = windows(template.key, template.owner, length)
-                for p, key in zip(at.tolist(), keys.view(np.int64).tolist()):
+                _, literal = windows(template.literal, template.owner, length)
+                for p, key, other in zip(at.tolist(), keys.view(np.int64).tolist(), literal.view(np.int64).tolist()):
                     i = int(template.owner[p])
                     n = int(template.length[i])
-                    if (length == min(size, n) or length == n < least) and (found := template.window(p, length)):
-                        rows.append((ids[i], n, p - int(begin[i]), length, key, *found))
+                    if length == min(size, n) or length == n < least:
+                        if found := template.window(p, length):
+                            rows.append((ids[i], n, p - int(begin[i]), length, key, *found))
+                        elif found := template.exact(p, length):
+                            rows.append((ids[i], n, p - int(begin[i]), length, other, *found))
             yield _batch(rows, ["item_id", "n_words", "item_pos", "size", "key", "form", "item_slots"])
 
     distinct = items.where("item_id is not null").groupBy("text").agg(F.min(F.col("item_id").cast("long")).alias("item_id"))
@@ -163,12 +177,13 @@ def matching_windows(docs: DataFrame, known: DataFrame, size: int) -> DataFrame:
             begin = np.concatenate([[0], np.cumsum(template.length)])
             ids, rows = batch.column("doc_id").to_pylist(), []
             for length in sizes:
-                at, keys = windows(template.key, template.owner, length)
-                hit = maybe_in(bits, keys)
-                for p, key in zip(at[hit].tolist(), keys[hit].view(np.int64).tolist()):
-                    i = int(template.owner[p])
-                    if found := template.window(p, length):
-                        rows.append((ids[i], p - int(begin[i]), length, key, *found))
+                for words, read in ((template.key, template.window), (template.literal, template.exact)):
+                    at, keys = windows(words, template.owner, length)
+                    hit = maybe_in(bits, keys)
+                    for p, key in zip(at[hit].tolist(), keys[hit].view(np.int64).tolist()):
+                        i = int(template.owner[p])
+                        if found := read(p, length):
+                            rows.append((ids[i], p - int(begin[i]), length, key, *found))
             yield _batch(rows, ["doc_id", "pos", "size", "key", "form", "slots"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(look_up, HITS)

@@ -116,6 +116,16 @@ def test_runs_that_hold():
         assert got[-1][0] + 4 - got[0][0] == most
 
 
+def test_numbers_and_names(spark):
+    """Windows of few plain words are found where they stand word for word, and only there; document 5 has the whole short item's form."""
+    items = [(1, "What comes next: 1 4 9 16 25 36 49 64 81 100 121 144 ?"), (2, "Did Anna Smith meet Bob Jones in Paris last Monday"), (3, "- - - - - - - - - - - - -")]
+    docs = [(1, "Well. " + items[0][1]), (2, "So: did Anna Smith meet Bob Jones in Paris last Monday, then"), (3, "- " * 40),
+            (4, "What comes next: 1 5 9 17 25 37 49 65 81 101 121 145 ?"), (5, "did Carl Smith meet Bob Jones in Rome last Monday")]
+    got = found(spark, docs, items)
+    assert {i for i, r in got.items() if r.contaminated} == {1, 2, 5}
+    assert got[1].verbatim and not got[5].verbatim and got[1].item_ids == [1] and got[2].item_ids == [2]
+
+
 def test_given_benchmark(spark):
     root = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{root}/documents.parquet"), spark.read.parquet(f"{root}/benchmark.parquet")
