@@ -1,7 +1,7 @@
 """Benchmark decontamination by templates.
 
 Texts become sequences of template words: numbers turn into ``<num>``, units after a number into ``<unit>``, capitalised words inside
-a sentence into ``<name>``; other words lose case and edge punctuation. Windows of ``WINDOW`` template words of the
+a sentence into ``<name>``, those that start one into either (a window is read both ways); other words lose case and edge punctuation. Windows of ``WINDOW`` template words of the
 documents are hash-joined with those of the benchmark. A match is then held against the slots: within
 one aligned passage every benchmark value must always stand for the same document value, so a question that was
 given other numbers and names is caught, while a text that only shares the form is not. Windows with another value than the
@@ -97,17 +97,34 @@ class Template:
         if n > 1:
             unit[1:] = number[:-1] & np.isin(self.key[1:], _unit_keys()) & (self.owner[1:] == self.owner[:-1])
         self.kind = np.where(number, NUM, np.where(unit, UNIT, np.where(titled & ~opens, NAME, PLAIN)))
+        self.opener = titled & (self.kind == PLAIN)  # starts a sentence, line or text: a name, or a plain word
         marks = mix(np.arange(1, 5, dtype=np.uint64))
         self.literal = mix(self.key ^ marks[0])
         self.key = np.where(self.kind > 0, marks[self.kind], self.key)
+        self.named = marks[NAME]
         self.length = np.bincount(self.owner, minlength=len(texts))
 
     def word(self, i: int) -> str:
         return self.text.data[self.begin[i] : self.end[i]].tobytes().decode()
 
-    def window(self, at: int, size: int) -> tuple[str, list[str]] | None:
-        """Form and slot values of a window; None if it has too few different plain words to say anything."""
-        kinds = self.kind[at : at + size].tolist()
+    def readings(self, size: int, classes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Starts and hashes of the windows, and which words are read as names: none of the sentence starts, then each choice of their
+        numbers modulo ``classes``. With up to ``classes`` sentence starts in a window, that's every choice."""
+        number = np.cumsum(self.opener) % classes
+        starts = [self.opener & (number == c) for c in range(classes)]
+        for chosen in range(1 << classes):
+            members = [starts[c] for c in range(classes) if chosen >> c & 1]
+            named = np.logical_or.reduce(members) if members else np.zeros(len(self.key), bool)
+            at, keys = windows(np.where(named, self.named, self.key), self.owner, size)
+            for member in members:  # a window without one of the numbers has been read by a smaller choice
+                sums = np.concatenate([[0], np.cumsum(member)])
+                some = sums[at + size] > sums[at]
+                at, keys = at[some], keys[some]
+            yield at, keys, named
+
+    def window(self, at: int, size: int, named: np.ndarray) -> tuple[str, list[str]] | None:
+        """Form and slot values of a window, ``named`` words read as names; None if it has too few different plain words to say anything."""
+        kinds = np.where(named[at : at + size], NAME, self.kind[at : at + size]).tolist()
         words = [self.word(i) for i in range(at, at + size)]
         if len({w for w, k in zip(words, kinds) if not k}) < min(MIN_PLAIN, max(1, size - 1)):
             return None
@@ -149,20 +166,26 @@ def benchmark_windows(items: DataFrame, size: int, least: int) -> DataFrame:
             begin = np.concatenate([[0], np.cumsum(template.length)])
             ids, rows = batch.column("item_id").to_pylist(), []
             for length in sorted({s for n in template.length.tolist() if n for s in (min(size, n), n if n < least else size) if s <= n}):
-                at, keys = windows(template.key, template.owner, length)
-                _, literal = windows(template.literal, template.owner, length)
-                for p, key, other in zip(at.tolist(), keys.view(np.int64).tolist(), literal.view(np.int64).tolist()):
-                    i = int(template.owner[p])
-                    n = int(template.length[i])
-                    if length == min(size, n) or length == n < least:
-                        if found := template.window(p, length):
-                            rows.append((ids[i], n, p - int(begin[i]), length, key, *found))
-                        elif found := template.exact(p, length):
-                            rows.append((ids[i], n, p - int(begin[i]), length, other, *found))
+                few = set()
+                for at, keys, named in template.readings(length, 4):
+                    plain = not named.any()
+                    for p, key in zip(at.tolist(), keys.view(np.int64).tolist()):
+                        i = int(template.owner[p])
+                        n = int(template.length[i])
+                        if length == min(size, n) or length == n < least:
+                            if found := template.window(p, length, named):
+                                rows.append((ids[i], n, p - int(begin[i]), length, key, *found))
+                            elif plain:
+                                few.add(p)
+                at, keys = windows(template.literal, template.owner, length)
+                for p, key in zip(at.tolist(), keys.view(np.int64).tolist()):
+                    if p in few and (found := template.exact(p, length)):
+                        i = int(template.owner[p])
+                        rows.append((ids[i], int(template.length[i]), p - int(begin[i]), length, key, *found))
             yield _batch(rows, ["item_id", "n_words", "item_pos", "size", "key", "form", "item_slots"])
 
     distinct = items.where("item_id is not null").groupBy("text").agg(F.min(F.col("item_id").cast("long")).alias("item_id"))
-    return distinct.select("item_id", "text").mapInArrow(cut, WINDOWS)
+    return distinct.select("item_id", "text").mapInArrow(cut, WINDOWS).distinct()
 
 
 def matching_windows(docs: DataFrame, known: DataFrame, size: int) -> DataFrame:
@@ -177,13 +200,18 @@ def matching_windows(docs: DataFrame, known: DataFrame, size: int) -> DataFrame:
             begin = np.concatenate([[0], np.cumsum(template.length)])
             ids, rows = batch.column("doc_id").to_pylist(), []
             for length in sizes:
-                for words, read in ((template.key, template.window), (template.literal, template.exact)):
-                    at, keys = windows(words, template.owner, length)
+                for at, keys, named in template.readings(length, 2):
                     hit = maybe_in(bits, keys)
                     for p, key in zip(at[hit].tolist(), keys[hit].view(np.int64).tolist()):
-                        i = int(template.owner[p])
-                        if found := read(p, length):
+                        if found := template.window(p, length, named):
+                            i = int(template.owner[p])
                             rows.append((ids[i], p - int(begin[i]), length, key, *found))
+                at, keys = windows(template.literal, template.owner, length)
+                hit = maybe_in(bits, keys)
+                for p, key in zip(at[hit].tolist(), keys[hit].view(np.int64).tolist()):
+                    if found := template.exact(p, length):
+                        i = int(template.owner[p])
+                        rows.append((ids[i], p - int(begin[i]), length, key, *found))
             yield _batch(rows, ["doc_id", "pos", "size", "key", "form", "slots"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(look_up, HITS)
@@ -237,7 +265,9 @@ def judge(found: list[dict], n_words: int, least: int) -> tuple[int, bool, bool,
     A window holds if its slots have the document's values, or if each has the value that the benchmark value mostly stands for;
     in an unbroken run long enough, each may stand for another value than elsewhere.
     """
-    held = {(w["pos"], w["size"]): set(zip(w["item_slots"], w["slots"])) for w in found}
+    # Of the readings of one window, the one with the fewest names: the others add words that are equal.
+    order = sorted(found, key=lambda w: -len(w["slots"]))
+    held = {(w["pos"], w["size"]): set(zip(w["item_slots"], w["slots"])) for w in order}
     mostly = _majority(held)
     equal = sorted(w for w, pairs in held.items() if all(a == b for a, b in pairs))
     kept = sorted({*equal, *(w for w, pairs in held.items() if all(mostly[a] == b for a, b in pairs))})

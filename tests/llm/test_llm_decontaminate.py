@@ -126,6 +126,17 @@ def test_numbers_and_names(spark):
     assert got[1].verbatim and not got[5].verbatim and got[1].item_ids == [1] and got[2].item_ids == [2]
 
 
+def test_names_that_start_sentences(spark):
+    item = "Anna has 12 apples. Anna gives 5 to Bob. How many apples does Anna have left?"
+    docs = [(1, item.replace("Anna", "Carla")), (2, "Then " + item.replace("Anna", "Carla").replace("12", "9")), (3, item), (4, "Who? " + item.replace("Anna gives", "Zoe gives").replace("does Anna", "does Mia"))]
+    got = found(spark, docs, [(1, item)])
+    assert {i for i, r in got.items() if r.contaminated} >= {1, 2, 3}
+    assert got[3].verbatim and not got[1].verbatim and got[1].n_covered == 16
+    # One sentence start of two is a plain word on the other side.
+    got = found(spark, [(1, "and yet the cat sat there. Carla gives 5 plums to each hungry child")], [(1, "The cat sat there. Anna gives 5 plums to each hungry child")])
+    assert got[1].contaminated
+
+
 def test_given_benchmark(spark):
     root = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{root}/documents.parquet"), spark.read.parquet(f"{root}/benchmark.parquet")
