@@ -30,11 +30,12 @@ HEX_MIN, ACCESS_MIN, ASSIGN_MIN = 16, 18, 12
 _HEX = np.isin(np.arange(256), list(b"0123456789abcdef"))
 
 #: A pair starts with a name, quoted or not, with an optional declaration word before it; then ``=``, ``:=``, ``=>``, ``:`` or a
-#: blank after a long option; then a value: literals or names joined by ``+`` or ``.``.
-_NAME = r"""(?:(?<![\w.$-])(?:--)?(?P<name>[A-Za-z_][\w.-]{0,79})|(?P<quote>["'])(?P<quoted>[A-Za-z_][\w. -]{0,79})(?P=quote))"""
-_PAIR = re.compile(_NAME + r"""[ \t]{0,8}(?P<sign>:=|=>|==?|:)[ \t]{0,8}(?=\S)""")
+#: blank after a long option; then a value: literals or names joined by ``+`` or ``.``. Repeats are possessive, so no length needs a bound.
+_NAME = r"""(?:(?<![\w.$-])(?P<option>--)?(?P<name>[A-Za-z_][\w.-]*+)|(?P<quote>["'])(?P<quoted>[A-Za-z_][\w. -]*+)(?P=quote))"""
+_PAIR = re.compile(_NAME + r"""[ \t]*+(?:(?P<sign>:=|=>|==?|:)[ \t]*+(?=\S)|(?(option)(?<=[ \t])(?=[^\s-])|(?!)))""")
 _ATOM = re.compile(
-    r"""[brufBRUF]{0,2}"(?P<double>(?:[^"\\\n]|\\.)*)"|[brufBRUF]{0,2}'(?P<single>(?:[^'\\\n]|\\.)*)'|\$\{(?P<hole>[A-Za-z_]\w{0,79})\}|\$?(?P<word>[^\s"'`,;(){}\[\]<>|&#]+)"""
+    r"""[brufBRUF]{0,2}\"{3}(?P<triple>(?:[^"\\]++|\\[\s\S]|"(?!""))*+)\"{3}|[brufBRUF]{0,2}'{3}(?P<triple1>(?:[^'\\]++|\\[\s\S]|'(?!''))*+)'{3}"""
+    r"""|`(?P<tick>(?:[^`\\]++|\\[\s\S])*+)`|[brufBRUF]{0,2}"(?P<double>(?:[^"\\\n]|\\.)*)"|[brufBRUF]{0,2}'(?P<single>(?:[^'\\\n]|\\.)*)'|\$\{(?P<hole>[A-Za-z_]\w*+)\}|\$?(?P<word>[^\s"'`,;(){}\[\]<>|&#]+)"""
 )
 _PLUS = re.compile(r"[ \t]*[+.][ \t]*(?=[\"'A-Za-z_$])")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
@@ -99,7 +100,7 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
 def lexed_spans(text: str) -> list[tuple[int, int, float]]:
     """Literals that reach a sensitive name: (start, end, score). Reads the whole text; a name that gets several
     values keeps each. A bare word that no assignment defines is a literal of its own (as in configuration files)."""
-    if "=" not in text and ":" not in text:
+    if "=" not in text and ":" not in text and "--" not in text:
         return []
     found = list(pairs(text))
     if not found:

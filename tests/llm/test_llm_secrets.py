@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pyarrow as pa
 import pytest
@@ -62,6 +63,32 @@ def test_lexer(text, literals):
     assert [text[s:e] for s, k, e in S.spans(text, []) if k == 3] == literals
 
 
+@pytest.mark.parametrize(
+    ("text", "literals"),
+    [
+        ("run --client-credential Zk29dk30dk39 now", ["Zk29dk30dk39"]),
+        ("run --db-password 'Zk29dk30dk39' --verbose", ["Zk29dk30dk39"]),
+        ("run --password --other-flag9-Xy2 --token authentication", []),
+        ("client_credential" + " " * 30 + "=" + "\t" * 30 + '"Zk29dk30dk39"', ["Zk29dk30dk39"]),
+        ("a" * 90 + '_password = "Zk29dk30dk39"', ["Zk29dk30dk39"]),
+        ('{"' + "a" * 90 + '_password": "Zk29dk30dk39"}', ["Zk29dk30dk39"]),
+        ('client_credential = """Zk29\n"dk30"dk39xQ7p"""', ['Zk29\n"dk30"dk39xQ7p']),
+        ("client_credential = r'''Zk29dk30dk39'''", ["Zk29dk30dk39"]),
+        ("client_credential = `Zk29dk30dk39`", ["Zk29dk30dk39"]),
+        ('client_credential = """Zk29dk30dk39', []),
+    ],
+)
+def test_lexer_without_length_caps(text, literals):
+    assert [text[s:e] for s, k, e in S.spans(text, []) if k == 3] == literals
+
+
+@pytest.mark.parametrize("unit", ["a", "a ", "--a ", " ", 'a="""', "a=`", "a='''\\", '"a', '"a b":', "a.b-", '"""', "a=\\`"])
+def test_lexer_is_linear(unit):
+    start = time.process_time()
+    S.spans("secret = " + unit * (600_000 // len(unit)), [])
+    assert time.process_time() - start < 20
+
+
 def test_operator_and_redaction(spark):
     secret = 'x é token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y'
     docs = spark.createDataFrame([(1, secret, 55, "s"), (2, None, 0, "s"), (3, "", 0, "s"), (3, "", 0, "s"), (None, "clean text", 10, "s")], "doc_id long, text string, n_chars long, spans string")
