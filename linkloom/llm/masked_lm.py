@@ -8,7 +8,7 @@ word within its class. Gaps at the ends of a text see an edge mark.
 
 Everything is gathered from the whole corpus: one pass counts all words (partial counts in each task, summed by word), and
 ``ROUNDS`` passes train. In a pass each task runs stochastic gradient descent in numpy from the common parameters on a
-fixed share of the positions of each of its texts, another share each round; the tasks' parameters are averaged, weighted by positions.
+share of the positions of each of its texts, another share each round, so that every position is trained on once; the tasks' parameters are averaged, weighted by positions.
 What reaches the driver has the size of the network, whatever the corpus.
 """
 
@@ -35,7 +35,6 @@ SIDE = 2
 EDGE = UNITS  # context only
 WIDTH = 24
 ROUNDS = 2
-SHARE = 8  # one position in so many is trained on in a round
 BATCH = 256
 RATE = 0.5
 SLICE_BYTES = 1 << 19
@@ -191,7 +190,13 @@ def contexts(unit: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def train_round(docs: DataFrame, vocabulary: Vocabulary, network: Network, round_: int) -> Network:
+def positions_of_round(owner: np.ndarray, round_: int, rounds: int) -> np.ndarray:
+    """The words that a round trains on; over all rounds, each word once. ``owner``: the text of each word."""
+    place = np.arange(len(owner)) - np.searchsorted(owner, owner)  # position in its own text
+    return np.flatnonzero(mix(place.astype(np.uint64)) % np.uint64(rounds) == np.uint64(round_))
+
+
+def train_round(docs: DataFrame, vocabulary: Vocabulary, network: Network, round_: int, rounds: int) -> Network:
     """One pass over the corpus: tasks train on their own rows, then parameters are averaged by position counts."""
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, network.flat))
 
@@ -201,8 +206,7 @@ def train_round(docs: DataFrame, vocabulary: Vocabulary, network: Network, round
         for batch in slices(batches, "text"):
             words, owner = words_of(texts_of(batch.column("text")))
             unit = vocab.units(words)
-            place = np.arange(len(unit)) - np.searchsorted(owner, owner)  # position in its own text
-            at = np.flatnonzero((mix(place.astype(np.uint64)) % np.uint64(SHARE)).astype(np.int64) == round_ % SHARE)
+            at = positions_of_round(owner, round_, rounds)
             np.random.default_rng(seen).shuffle(at)
             context = contexts(unit, owner, at)
             for k in range(0, len(at), BATCH):
@@ -222,7 +226,7 @@ def train_round(docs: DataFrame, vocabulary: Vocabulary, network: Network, round
 def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, Network]:
     vocabulary, network = build_vocabulary(docs), Network.fresh()
     for r in range(rounds):
-        network = train_round(docs, vocabulary, network, r)
+        network = train_round(docs, vocabulary, network, r, rounds)
     return vocabulary, network
 
 

@@ -72,3 +72,10 @@ def test_odd_rows(spark):
     rows = sorted(((r.doc_id or 9, r.n_tokens, r.log_prob <= 0, r.mean_log_prob is None) for r in M.score_documents(docs).collect()))
     assert rows == [(1, 0, True, True), (2, 0, True, True), (3, 2, True, False), (3, 2, True, False), (9, 200_000, True, False)]
     assert M.score_documents(docs.limit(0)).count() == 0
+
+
+def test_rounds_train_on_every_position():
+    owner = np.repeat([0, 1, 3], [500, 1, 77])
+    for rounds in (1, 2, 3):
+        shares = [M.positions_of_round(owner, r, rounds) for r in range(rounds)]
+        assert sorted(np.concatenate(shares).tolist()) == list(range(578))
