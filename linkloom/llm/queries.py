@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, language, masked_lm, near_dup, page_text, pieces, quality_crf, secrets, token_store, warc
+from linkloom.llm import conversations, decontaminate, language, masked_lm, near_dup, page_text, pieces, quality_crf, secrets, token_store, warc
 from linkloom.session import find_package
 
 
@@ -86,6 +86,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(conversations.damaged(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_masked_lm": op8_masked_lm,
     "op9_warc": op9_warc,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 #: SQL of the queries that DuckDB can express.
