@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import conversations, decontaminate, language, masked_lm, near_dup, page_text, pieces, quality_crf, secrets, token_store, warc
+from linkloom.llm import conversations, decontaminate, language, masked_lm, near_dup, page_text, pieces, quality_crf, secrets, spot_signatures, token_store, warc
 from linkloom.session import find_package
 
 
@@ -90,6 +91,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(conversations.damaged(_table(spark, sf_dir, "conversations")))
 
 
+def op13_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.spot_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -102,7 +107,64 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_sentencepiece": op10_sentencepiece,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_spot_signatures": op13_spot_signatures,
 }
 
+_ANCHORS = ", ".join(f"'{w}'" for w in spot_signatures.ANCHORS)
+
 #: SQL of the queries that DuckDB can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_spot_signatures": f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents
+), followed AS (
+  SELECT *, coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id,
+    coalesce(lead(text) OVER o, first_value(text) OVER o) AS after
+  FROM docs WINDOW o AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), edits AS (
+  SELECT doc_id, next_id, n, text, left(text, n - n // 2) || left(after, n // 2) AS edited FROM followed
+), both_texts AS (
+  SELECT doc_id, 0 AS kind, text FROM edits UNION ALL SELECT doc_id, 1, edited FROM edits
+), cut AS (
+  SELECT doc_id, kind, regexp_split_to_array(trim(regexp_replace(lower(text), '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS words FROM both_texts
+), words AS (
+  SELECT doc_id, kind, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM cut
+), marked AS (
+  SELECT *, word IN ({_ANCHORS}) AS anchor FROM words WHERE word <> ''
+), placed AS (
+  SELECT *, count_if(NOT anchor) OVER o AS solid, coalesce(lead(anchor) OVER o, false) AS more
+  FROM marked WINDOW o AS (PARTITION BY doc_id, kind ORDER BY pos)
+), content AS (
+  SELECT doc_id, kind, solid, word, lead(word) OVER o AS two, lead(word, 2) OVER o AS three
+  FROM placed WHERE NOT anchor WINDOW o AS (PARTITION BY doc_id, kind ORDER BY pos)
+), spots AS (
+  SELECT doc_id, kind, word, solid + 1 AS solid FROM placed WHERE anchor AND NOT more
+  UNION ALL SELECT DISTINCT doc_id, kind, '', 1 FROM placed
+), hashed AS (
+  SELECT DISTINCT s.doc_id, s.kind, left(md5(concat_ws(' ', s.word, c.word, c.two, c.three)), {spot_signatures.DIGITS}) AS spot
+  FROM spots s LEFT JOIN content c ON c.doc_id = s.doc_id AND c.kind = s.kind AND c.solid = s.solid
+  WHERE s.word <> '' OR c.word IS NOT NULL
+), sets AS (
+  SELECT doc_id, kind, list(spot ORDER BY spot) AS spots FROM hashed GROUP BY doc_id, kind
+), joined AS (
+  SELECT e.*, coalesce(a.spots, []) AS own, coalesce(b.spots, []) AS changed, coalesce(c.spots, []) AS following
+  FROM edits e LEFT JOIN sets a ON a.doc_id = e.doc_id AND a.kind = 0
+  LEFT JOIN sets b ON b.doc_id = e.doc_id AND b.kind = 1 LEFT JOIN sets c ON c.doc_id = e.next_id AND c.kind = 0
+), measured AS (
+  SELECT *, len(own) AS n_own, len(list_intersect(own, changed)) AS c1, len(changed) AS n1,
+    len(list_intersect(own, following)) AS c2, len(following) AS n2
+  FROM joined
+), likened AS (
+  SELECT *, CASE WHEN own = changed THEN 1.0::DOUBLE WHEN n_own = 0 OR n1 = 0 THEN 0.0::DOUBLE ELSE c1 / (n_own + n1 - c1) END AS l1,
+    CASE WHEN own = following THEN 1.0::DOUBLE WHEN n_own = 0 OR n2 = 0 THEN 0.0::DOUBLE ELSE c2 / (n_own + n2 - c2) END AS l2
+  FROM measured
+)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, array_to_string(own, '') AS fingerprint,
+  array_to_string(changed, '') AS edited_fingerprint,
+  CASE WHEN l1 >= {spot_signatures.LEAST}::DOUBLE THEN l1 ELSE 0.0::DOUBLE END AS near_edited,
+  CASE WHEN l2 >= {spot_signatures.LEAST}::DOUBLE THEN l2 ELSE 0.0::DOUBLE END AS near_next,
+  n_own::BIGINT AS n_spots,
+  CASE WHEN n_own > 0 THEN floor(ln(n_own) / {-math.log(spot_signatures.LEAST)!r}::DOUBLE + 1e-9)::INTEGER END AS spot_partition
+FROM likened
+""",
+}
