@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import conversations, decontaminate, language, masked_lm, near_dup, page_text, pieces, quality_crf, secrets, spot_signatures, token_store, warc
+from linkloom.llm import conversations, decontaminate, hard_negatives, language, masked_lm, near_dup, page_text, pieces, quality_crf, secrets, spot_signatures, token_store, warc
 from linkloom.session import find_package
 
 
@@ -87,6 +87,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(conversations.damaged(_table(spark, sf_dir, "conversations")))
 
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_masked_lm": op8_masked_lm,
     "op9_warc": op9_warc,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_spot_signatures": op13_spot_signatures,
 }
@@ -114,6 +119,26 @@ _ANCHORS = ", ".join(f"'{w}'" for w in spot_signatures.ANCHORS)
 
 #: SQL of the queries that DuckDB can express.
 ORACLE: dict[str, str] = {
+    "op11_hard_negatives": """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM positive JOIN scored USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+""",
     "op13_spot_signatures": f"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents
