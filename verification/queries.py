@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from linkloom.functions import report_texts as R, scoring as S, urls as U
-from linkloom.operators import content, dedup, frontier as FR, links as L, outcomes as O
+from linkloom.operators import content, dedup, frontier as FR, links as L, outcomes as O, similar
 from linkloom.operators import pages as P
 from linkloom.plans import bfs, expand, reports
 from linkloom.session import scratch_path, stored
@@ -130,6 +130,15 @@ def similar_by_hash(spark, sf_dir):
     return dedup.similar_by_hash(pages, top)
 
 
+@query
+def near_duplicates(spark, sf_dir):
+    """Groups of documents whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    pages = I.table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "page_id")
+    return similar.near_duplicates(pages, F.col("text")).select(
+        "page_id", long("n_shingles"), "group_id", "similarity", "is_first"
+    )
+
+
 # --- URL functions -------------------------------------------------------------------------
 
 
