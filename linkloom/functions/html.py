@@ -1,9 +1,9 @@
 """HTML measures as Column expressions over a raw ``html`` string.
 
-One regular-expression pass (:func:`mark_tags`) tokenises the page: it drops comments and
-declarations, and puts a marker character before every real tag. Everything else looks for
-marked tags only, so text inside scripts, comments or quoted attribute values is never
-mistaken for markup. All work stays in the JVM.
+One regular-expression pass (:func:`pieces_of`) cuts the page at its tags, drops comments and declarations and puts marker
+characters between the parts of each piece: the tag's name, the tag, raw content with its end tag, and the text that
+follows. Everything else takes pieces apart at the markers, without another pattern over the page, so text inside scripts,
+comments or quoted attribute values is never mistaken for markup. All work stays in the JVM.
 
 Every repetition in the patterns is possessive or a plain character class, which Java runs
 as a loop: a page with 100,000 attributes neither overflows the stack nor backtracks.
@@ -26,8 +26,8 @@ from .entities import decode_entities
 
 # Control characters keep plain-ASCII pages in the JVM's one-byte strings, which regexes run
 # over several times faster.
-TAG_MARK = "\x01"
-SPLIT_MARK = "\x02"
+TAG_MARK, NAME_MARK, TEXT_MARK, RAW_MARK = MARKS = "\x01", "\x03", "\x02", "\x04"
+SPLIT_MARK = "\x02"  # in tag sequences
 _NOT_A_MARK = "\x7F"
 
 _ATTRS = (
@@ -36,7 +36,6 @@ _ATTRS = (
 _NAME_END = r"(?=[\s/>])"
 _TAG_END = r"(?:>|\z)"
 _SEQ_END = rf"(?=[<{SPLIT_MARK}]|\z)"
-_TAG = rf"</?[a-z]{_ATTRS}{_TAG_END}"
 
 # Elements whose content is text even when it looks like markup.
 _RAW_TEXT = "script|style|xmp|iframe|noembed|noframes|noscript"
@@ -69,92 +68,152 @@ _TOKENS = (
     r"(?is)(?=<)(?:<!--(?:>|->|.*?(?:--!?>|\z))"
     rf"|(<({_RAW_ALL}){_NAME_END}{_ATTRS}{_TAG_END})(.*?)"
     rf"(?:(</\2{_NAME_END}[^>]*+{_TAG_END})|\z)"
-    rf"|(</?[a-z]{_ATTRS}>)|</?[a-z]{_ATTRS}\z"
+    rf"|((?=</?([a-z][^\s/>]*+))</?[a-z]{_ATTRS}>)|</?[a-z]{_ATTRS}\z"
     rf"|<[!?][^>]*+{_TAG_END}|</[^a-z>][^>]*+{_TAG_END}|</>)"
 )
-_STRIP = rf"(?is)[{TAG_MARK}{SPLIT_MARK}](?:{_raw_element(_RAW_ALL, 1)}|{_TAG})?"
-_RAW_CONTENT = rf"(?is){TAG_MARK}{_raw_element(_RAW_TEXT, 1)}"
-_TITLE = rf"(?is){TAG_MARK}{_raw_element('title', 1)}"
-_BODY_TAG = rf"{TAG_MARK}<body{_NAME_END}{_ATTRS}{_TAG_END}"
-_HEAD_END = rf"{TAG_MARK}</head{_NAME_END}{_ATTRS}{_TAG_END}"
-_HEAD_CONTENT = (
-    rf"(?is)\A(?:\s++|{TAG_MARK}(?!<)"
-    rf"|{TAG_MARK}</?(?:html|head|meta|link|base|basefont|bgsound){_NAME_END}{_ATTRS}{_TAG_END}"
-    rf"|{TAG_MARK}{_raw_element('title|style|script|noscript|noframes', 1)})*+"
-)
+# A piece: name, tag, raw content, end tag of raw content, text.
+_PIECE = f"{TAG_MARK}%s{NAME_MARK}%s{TEXT_MARK}%s{RAW_MARK}%s{RAW_MARK}"
+_PLAIN = TEXT_MARK + 2 * RAW_MARK  # stands in pieces without raw content
+
+# What may stand before the body when its tag is left out; "" is a comment or the start.
+_HEAD_NAMES = [
+    "", *(f"{end}{name}" for name in ("html", "head", "meta", "link", "base", "basefont", "bgsound") for end in ("", "/")),
+    "title", "style", "script", "noscript", "noframes",
+]
 _ATTRIBUTE = r"""[^\s=/>"']++(?:\s*+=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s"'>][^\s>]*+)?+)?+"""
 
 
-def mark_tags(html: Column) -> Column:
-    """Page with comments removed and :data:`TAG_MARK` before every tag.
+def pieces_of(html: Column) -> Column:
+    """The page cut at its tags: one string per tag, comment or declaration, the first one for the text before.
 
     Line ends become ``\\n`` as in HTML parsing; stray marker characters in the input turn
     into another control character of the same byte length.
     """
-    marks = F.contains(html, F.lit(TAG_MARK)) | F.contains(html, F.lit(SPLIT_MARK))
+    marks = reduce(or_, (F.contains(html, F.lit(m)) for m in MARKS))
     unmarked = F.when(
-        marks, F.translate(html, TAG_MARK + SPLIT_MARK, _NOT_A_MARK * 2)
+        marks, F.translate(html, "".join(MARKS), _NOT_A_MARK * len(MARKS))
     ).otherwise(html)
     lines = F.when(
         F.contains(html, F.lit("\r")),
         F.replace(F.replace(unmarked, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")),
     ).otherwise(unmarked)
-    return F.regexp_replace(lines, _TOKENS, TAG_MARK + "$1$3$4$5")
-
+    # An end tag's name has no group of its own: it is told by the tag.
+    marked = F.regexp_replace(lines, _TOKENS, _PIECE % ("$2$6", "$1$5", "$3", "$4"))
+    pieces = F.split(F.concat(F.lit(_PIECE % ("", "", "", "")), marked), TAG_MARK)
+    return F.slice(pieces, 2, 1 << 30)  # what stands before the first marker is empty
 
-def tag_sequence(marked: Column) -> Column:
-    """Names of all tags in order, lower case, as ``<name`` and ``</name`` without separators.
 
-    A few hundred bytes per page: element counts look at this instead of the page.
-    """
-    names = F.regexp_replace(
-        marked, rf"(?s)[^{TAG_MARK}]*+(?:{TAG_MARK}(?:(</?[a-zA-Z][^\s/>]*+))?|\z)", "$1"
+def name_of(piece: Column) -> Column:
+    """Lower-case name of a piece's tag, with ``/`` for an end tag, empty for a comment."""
+    name = F.lower(F.substring_index(piece, NAME_MARK, 1))
+    return (
+        # A tag cut off at the end of the page leaves a name without a tag.
+        F.when(F.contains(piece, F.lit(NAME_MARK + TEXT_MARK)), "")
+        .when(F.contains(piece, F.lit(NAME_MARK + "</")), F.concat(F.lit("/"), name)).otherwise(name)
     )
-    return F.lower(names)
 
 
-def strip_tags(marked: Column) -> Column:
-    """Text of a marked fragment, raw-text content included, references not yet decoded."""
-    return F.regexp_replace(marked, _STRIP, "$2")
+def tag_of(piece: Column) -> Column:
+    """The tag as written."""
+    return F.substring_index(F.substring_index(piece, TEXT_MARK, 1), NAME_MARK, -1)
 
 
-def text_of(marked: Column) -> Column:
-    """Decoded text of a marked fragment."""
-    return decode_entities(strip_tags(marked))
+def raw_of(piece: Column) -> Column:
+    """Content of a script, title and the like; empty for other tags."""
+    return F.substring_index(F.substring_index(piece, TEXT_MARK, -1), RAW_MARK, 1)
 
 
-def raw_text(marked: Column) -> Column:
-    """Script-like content of a marked fragment, which is text but holds no references."""
-    has_raw = marked.rlike(rf"{TAG_MARK}<(?i:{_RAW_TEXT}){_NAME_END}")
-    content = F.array_join(F.regexp_extract_all(marked, F.lit(_RAW_CONTENT), 2), "\n")
-    return F.when(has_raw, content).otherwise("")
+def after_of(piece: Column) -> Column:
+    """Text between the tag (with its raw content) and the next one, references not yet decoded."""
+    return F.substring_index(piece, RAW_MARK, -1)
 
 
-def split_body(marked: Column) -> Column:
-    """A marked page cut at its first ``body`` tag: two parts, or one when the tag is left out."""
-    return F.split(marked, f"(?i){_BODY_TAG}", 2)
+def text_of(piece: Column) -> Column:
+    """All text of a piece: raw content and what follows."""
+    return F.when(F.contains(piece, F.lit(_PLAIN)), after_of(piece)).otherwise(
+        F.concat(raw_of(piece), after_of(piece))
+    )
 
 
-def body_of(marked: Column, parts: Column) -> Column:
-    """Part of a marked page that belongs to ``body``, also when the tag is left out; ``parts`` is its
-    :func:`split_body`."""
-    return (
-        F.when(F.size(parts) == 2, parts[1])
-        .when(
-            marked.rlike(f"(?i){_HEAD_END}"),
-            F.regexp_replace(marked, rf"(?is)\A.*?{_HEAD_END}", ""),
-        )
-        .otherwise(F.regexp_replace(marked, _HEAD_CONTENT, ""))
+def tag_sequence(names: Column) -> Column:
+    """Names of all tags in order, as ``<name`` and ``</name`` without separators.
+
+    A few hundred bytes per page: element counts look at this instead of the page.
+    """
+    return F.array_join(F.transform(F.filter(names, lambda n: n != ""), lambda n: F.concat(F.lit("<"), n)), "")
+
+
+def body_start(names: Column, texts: Column) -> Column:
+    """Place (from 1) of the piece that the body starts with: its tag, the end of the head, or the first that can't be
+    part of a head."""
+    position = lambda name: F.nullif(F.array_position(names, name), F.lit(0))
+    foreign = F.filter(
+        F.sequence(F.lit(1), F.size(names)),
+        lambda i: ~F.get(names, i - 1).isin(_HEAD_NAMES) | ~F.get(texts, i - 1).rlike(r"\A\s*+\z"),
     )
+    return F.coalesce(
+        position("body"), position("/head"), F.get(foreign, F.lit(0)), F.size(names) + 1
+    ).cast("int")
+
+
+def body_text(pieces: Column, names: Column, texts: Column, start: Column) -> Column:
+    """Text of the body, raw content included. A head element that the body starts behind lends only what follows it."""
+    first, name = F.get(texts, start - 1), F.get(names, start - 1)
+    after = F.regexp_replace(after_of(F.get(pieces, start - 1)), r"\A\s++", "")
+    opening = (
+        F.when(name.isin("body", "/head"), after_of(F.get(pieces, start - 1)))
+        .when(name.isin(_HEAD_NAMES), after).otherwise(first)
+    )
+    rest = F.array_join(F.slice(texts, start + 1, F.size(texts)), "")
+    return F.concat(F.coalesce(opening, F.lit("")), rest)
+
+
+def raw_text(pieces: Column, names: Column, start: Column, length: Column) -> Column:
+    """Script-like content of ``length`` pieces from ``start`` on, which is text but holds no references. Of a head element
+    that the body starts behind it does not count."""
+    raw = _RAW_TEXT.split("|")
+
+    def joined(own: Column) -> Column:
+        found = F.filter(
+            F.slice(pieces, start, length),
+            lambda p, i: F.get(own, i).isin(raw) & ((i > 0) | ~F.get(own, i).isin(_HEAD_NAMES)),
+        )
+        return F.when(
+            F.arrays_overlap(own, F.array(*map(F.lit, raw))), F.array_join(F.transform(found, raw_of), "\n")
+        ).otherwise("")
+
+    return bind(F.slice(names, start, length), joined)
+
+
+def anchors_of(pieces: Column, names: Column, texts: Column) -> Column:
+    """All ``a`` elements in order: ``tag``, ``text`` (references not yet decoded) and ``raw``, the script-like part of the text.
+
+    An anchor ends at its end tag or where the next anchor starts, since anchors do not nest.
+    """
+    n = F.size(names)
+    bounds = F.filter(F.sequence(F.lit(1), n), lambda i: F.get(names, i - 1).isin("a", "/a"))
+
+    def spans(places: Column) -> Column:
+        both = F.transform(places, lambda i, k: F.struct(
+            i.alias("start"), F.coalesce(F.get(places, k + 1), n + 1).alias("end")
+        ))
+        return F.filter(both, lambda s: F.get(names, s["start"] - 1) == "a")
+
+    return F.transform(bind(bounds, spans), lambda s: F.struct(
+        tag_of(F.get(pieces, s["start"] - 1)).alias("tag"),
+        F.array_join(F.slice(texts, s["start"], s["end"] - s["start"]), "").alias("text"),
+        raw_text(pieces, names, s["start"], s["end"] - s["start"]).alias("raw"),
+    ))
 
 
 def trim_unicode(text: Column) -> Column:
     return F.btrim(text, F.lit(UNICODE_SPACE))
 
 
-def title_source(marked: Column) -> Column:
+def title_source(pieces: Column, names: Column) -> Column:
     """Text of all ``title`` elements, references not yet decoded, not trimmed."""
-    return F.array_join(F.regexp_extract_all(marked, F.lit(_TITLE), 2), "")
+    titles = F.filter(pieces, lambda p, i: F.get(names, i) == "title")
+    return F.array_join(F.transform(titles, raw_of), "")
 
 
 def count_headings(tags: Column) -> Column:
@@ -182,7 +241,7 @@ def attributes(tag: Column) -> Column:
     They are cut apart from left to right, so a name inside a quoted value is not found.
     """
     inner = F.regexp_extract(
-        tag, rf"(?s)\A[{TAG_MARK}{SPLIT_MARK}]?<[a-zA-Z][^\s/>]*+({_ATTRS}){_TAG_END}", 1
+        tag, rf"(?s)\A<[a-zA-Z][^\s/>]*+({_ATTRS}){_TAG_END}", 1
     )
     return F.regexp_extract_all(inner, F.lit(_ATTRIBUTE), 0)
 
@@ -194,17 +253,15 @@ def attribute_value(attrs: Column, name: str) -> Column:
     return F.regexp_replace(value, r"""(?s)\A(["'])(.*?)(?:\1|\z)""", "$2")
 
 
-def has_attribute_value(marked: Column, element: str, name: str, value: str) -> Column:
+def has_attribute_value(pieces: Column, names: Column, element: str, name: str, value: str) -> Column:
     """Some ``element`` has attribute ``name`` equal to ``value`` (case-sensitive)."""
-    tags = F.regexp_extract_all(
-        marked, F.lit(rf"(?is){TAG_MARK}<{element}{_NAME_END}{_ATTRS}{_TAG_END}"), 0
-    )
-    return F.exists(tags, lambda t: F.coalesce(
-        attribute_value(attributes(t), name) == value, F.lit(False)
+    tags = F.filter(pieces, lambda p, i: F.get(names, i) == element)
+    return F.exists(tags, lambda p: F.coalesce(
+        attribute_value(attributes(tag_of(p)), name) == value, F.lit(False)
     ))
 
 
-def has_class(marked: Column, pattern: str, hints: tuple[str, ...]) -> Column:
+def has_class(html: Column, pieces: Column, names: Column, pattern: str, hints: tuple[str, ...]) -> Column:
     """Some element's class attribute matches the regex ``pattern``.
 
     Only pages that contain one of the literal ``hints`` anywhere, and in them only tags with a
@@ -214,25 +271,8 @@ def has_class(marked: Column, pattern: str, hints: tuple[str, ...]) -> Column:
     def hinted(text: Column) -> Column:
         return reduce(or_, [F.contains(text, F.lit(h)) for h in hints])
 
-    tags = F.regexp_extract_all(
-        marked, F.lit(rf"(?s){TAG_MARK}<[a-zA-Z]{_ATTRS}{_TAG_END}"), 0
-    )
     exact = F.exists(
-        tags,
-        lambda t: hinted(t)
-        & F.coalesce(attribute_value(attributes(t), "class").rlike(pattern), F.lit(False)),
-    )
-    return F.when(hinted(marked), exact).otherwise(False)
-
-
-def anchors_of(marked: Column) -> Column:
-    """All ``a`` elements of a marked page as an array of marked fragments.
-
-    An anchor ends at its end tag or where the next anchor starts, since anchors do not nest.
-    """
-    split = F.regexp_replace(marked, rf"(?i){TAG_MARK}(?=</?a[\s/>])", SPLIT_MARK)
-    return F.regexp_extract_all(
-        split,
-        F.lit(rf"(?is){SPLIT_MARK}<a{_NAME_END}{_ATTRS}{_TAG_END}[^{SPLIT_MARK}]*+"),
-        0,
+        F.filter(pieces, lambda p, i: hinted(p) & ~F.startswith(F.get(names, i), F.lit("/"))),
+        lambda p: F.coalesce(attribute_value(attributes(tag_of(p)), "class").rlike(pattern), F.lit(False)),
     )
+    return F.when(hinted(html), exact).otherwise(False)

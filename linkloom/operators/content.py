@@ -17,41 +17,47 @@ FEATURES = (
 )
 
 
+# What a page is cut into; only its anchors are of use beyond the features.
+CUT = ("pieces", "names", "texts")
+
+
 def marked_pages(captures: DataFrame) -> DataFrame:
-    """Captures with the tokenised page in ``marked`` and its ``a`` elements in ``anchors``, which features and links
+    """Captures with the page cut at its tags (:data:`CUT`) and its ``a`` elements in ``anchors``, which features and links
     share; failed fetches have neither."""
-    return captures.withColumn("marked", H.mark_tags(F.col("html"))).withColumn(
-        "anchors", H.anchors_of(F.col("marked"))
+    pieces, names, texts = map(F.col, CUT)
+    cut = captures.withColumn("pieces", H.pieces_of(F.col("html"))).withColumns(
+        {"names": F.transform(pieces, H.name_of), "texts": F.transform(pieces, H.text_of)}
     )
+    return cut.withColumn("anchors", H.anchors_of(pieces, names, texts))
 
 
 def with_features(marked: DataFrame) -> DataFrame:
-    """Add all :data:`FEATURES` to a table with ``html``, ``marked`` and ``anchors``.
+    """Add all :data:`FEATURES` to a table with ``html`` and the columns of :func:`marked_pages`, of which ``anchors`` stays.
 
     Written as stages: what several features share is a column of an earlier stage, so each
     pass over the page text happens once.
     """
-    m = F.col("marked")
+    pieces, names, texts = map(F.col, CUT)
     stage = marked.withColumns(
         {
-            "_parts": H.split_body(m),
-            "_anchors": F.array_join("anchors", ""),
-            "_tags": H.tag_sequence(m),
-            "_title": H.title_source(m),
-            "_breadcrumb": H.has_class(m, BREADCRUMB_CLASS, ("breadcrumb",)),
+            "_start": H.body_start(names, texts),
+            "_tags": H.tag_sequence(names),
+            "_breadcrumb": H.has_class(F.col("html"), pieces, names, BREADCRUMB_CLASS, ("breadcrumb",)),
             "size": F.octet_length("html").cast("long"),
             "hash": F.md5("html"),
-            "has_meta_description": H.has_attribute_value(m, "meta", "name", "description"),
-            "has_social": H.has_class(m, SOCIAL_CLASS, SOCIAL_HINTS),
+            "has_meta_description": H.has_attribute_value(pieces, names, "meta", "name", "description"),
+            "has_social": H.has_class(F.col("html"), pieces, names, SOCIAL_CLASS, SOCIAL_HINTS),
         }
     )
-    stage = stage.withColumn("_body", H.body_of(m, F.col("_parts")))
-    body, anchors, tags = F.col("_body"), F.col("_anchors"), F.col("_tags")
+    tags, start, links = F.col("_tags"), F.col("_start"), F.col("anchors")
     stage = stage.withColumns(
         {
             "_source": F.array(
-                F.col("_title"), H.strip_tags(body), H.strip_tags(anchors), H.raw_text(body),
-                H.raw_text(anchors),
+                H.title_source(pieces, names),
+                H.body_text(pieces, names, texts, start),
+                F.array_join(F.transform(links, lambda a: a["text"]), ""),
+                H.raw_text(pieces, names, start, F.size(names)),
+                F.array_join(F.filter(F.transform(links, lambda a: a["raw"]), lambda r: r != ""), "\n"),
             ),
             "n_headings": H.count_headings(tags),
             "n_paragraphs": H.count_paragraphs(tags),
@@ -89,10 +95,10 @@ def with_features(marked: DataFrame) -> DataFrame:
             ),
         }
     )
-    kept = [c for c in marked.columns if c not in FEATURES]
+    kept = [c for c in marked.columns if c not in (*FEATURES, *CUT)]
     return scored.select(*kept, *FEATURES)
 
 
 def analyze_content(captures: DataFrame) -> DataFrame:
     """All features and scores per capture. Narrow output: the page text itself is dropped."""
-    return with_features(marked_pages(captures)).drop("html", "marked", "anchors")
+    return with_features(marked_pages(captures)).drop("html", "anchors")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import html as H, scoring as S, urls as U
 from ..functions.bind import bind
-from ..functions.entities import decode_all
+from ..functions.entities import decode_all, decode_entities
 from ..schemas import PENDING
 from .content import marked_pages, with_features
 
@@ -17,7 +17,7 @@ PAGE_CONTEXT = ["url", "depth", "importance", "link_density"]
 
 def _link(anchor: Column, base: Column, drop_same_page: bool) -> Column:
     values = bind(
-        H.attributes(anchor),
+        H.attributes(anchor["tag"]),
         lambda a: decode_all(
             F.array(*(H.attribute_value(a, name) for name in ("href", "rel", "class"))),
             attribute=True,
@@ -27,7 +27,7 @@ def _link(anchor: Column, base: Column, drop_same_page: bool) -> Column:
         values,
         lambda v: F.struct(
             U.resolve_on(base, v[0], drop_same_page).alias("url"),
-            H.text_of(anchor).alias("anchor"),
+            decode_entities(anchor["text"]).alias("anchor"),
             v[1].alias("rel"),
             v[2].alias("css_class"),
         ),

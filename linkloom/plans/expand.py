@@ -58,7 +58,7 @@ def prepare_site(captures: DataFrame) -> CapturedSite:
             "links": link_array(drop_same_page=True),
         }
     )
-    pages, pages_path = stored(analyzed.drop("html", "marked", "anchors"), "site")
+    pages, pages_path = stored(analyzed.drop("html", "anchors"), "site")
     links = score_links(explode_links(pages, F.col("links"), PAGE_CONTEXT))
     facts, _ = stored(pages.drop("links", "depth"), "site-facts")
     links, _ = stored(links, "site-links")

@@ -256,7 +256,7 @@ def test_all_features_are_named(spark):
 
 
 def test_marker_characters_in_the_input(spark):
-    (r,) = _features(spark, f"<body>a{H.TAG_MARK}b{H.SPLIT_MARK}<p>c")
+    (r,) = _features(spark, f"<body>a{H.TAG_MARK}b{H.TEXT_MARK}<p>c")
     assert r.text_len == 5 and r.n_paragraphs == 1
 
 
@@ -270,5 +270,5 @@ def test_page_text_is_tokenised_once(spark):
 
 def test_tag_sequence(evaluate):
     got = evaluate([("<P a='<b>'>x</p><!-- --><h1>",)], "h string",
-                   H.tag_sequence(H.mark_tags(F.col("h"))))
+                   H.tag_sequence(F.transform(H.pieces_of(F.col("h")), H.name_of)))
     assert got == ["<p</p<h1"]
