@@ -68,7 +68,12 @@ def within_depth(frontier: DataFrame, max_depth: int) -> DataFrame:
 
 
 def next_urls(frontier: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best pending URLs: highest priority, earliest scheduled, then URL.
+    """The ``k`` best pending URLs: highest priority, earliest scheduled, then URL. See :func:`best_urls`."""
+    return best_urls(frontier, k)[0]
+
+
+def best_urls(frontier: DataFrame, k: int) -> tuple[DataFrame, str]:
+    """The ``k`` best pending URLs, and the path of a table in the shared folder that they read, for removal afterwards.
 
     One way for every ``k``. Rows are counted per priority; priorities wholly inside the batch are taken as
     they are. Only the priority at the border is range-sorted, written to the shared folder and numbered partition by
@@ -83,7 +88,7 @@ def next_urls(frontier: DataFrame, k: int) -> DataFrame:
     inside = F.col("_before") + F.col("_n") <= k
     order = [F.col("scheduled_at").asc(), F.col("url").asc()]
     border = near.filter(~inside).repartitionByRange(*order)
-    border, _ = stored(border.withColumn("_part", F.spark_partition_id()), "border")
+    border, path = stored(border.withColumn("_part", F.spark_partition_id()), "border")
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = border.groupBy("_part").count().select(
         "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_earlier")
@@ -94,7 +99,38 @@ def next_urls(frontier: DataFrame, k: int) -> DataFrame:
         .filter(F.col("_before") + F.col("_earlier") + F.col("_rank") <= k)
     )
     columns = frontier.columns
-    return near.filter(inside).select(*columns).unionByName(chosen.select(*columns))
+    return near.filter(inside).select(*columns).unionByName(chosen.select(*columns)), path
+
+
+def combined_links(links: DataFrame) -> DataFrame:
+    """One row per URL of links that one merge would add: what the merge keeps of them."""
+    return add_to_frontier(links.limit(0), links)
+
+
+def fold_frontier(frontier: DataFrame, merges: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """The frontier after merges in order, each given by its links and the URLs completed with it: the same as
+    :func:`add_to_frontier` and :func:`mark_processed` one after the other, in one aggregation.
+    """
+    others = [c for c in frontier.columns if c not in ("url", "priority")]
+
+    def rows(df: DataFrame, number: int) -> DataFrame:
+        # Earlier merges first, then the smallest seq.
+        first = F.struct(F.lit(number).alias("_merge"), "seq", *(c for c in others if c != "seq"))
+        return df.select("url", "priority", first.alias("_first"), F.lit(False).alias("_done"))
+
+    log = rows(frontier, 0)
+    for number, (links, done) in enumerate(merges, 1):
+        log = log.unionByName(rows(links, number)).unionByName(
+            done.select("url", F.lit(True).alias("_done")), allowMissingColumns=True
+        )
+    folded = log.groupBy("url").agg(
+        F.max("priority").alias("priority"), F.min("_first").alias("_first"), F.max("_done").alias("_done")
+    ).where(F.col("_first").isNotNull())
+    status = F.when(F.col("_done"), F.lit(COMPLETED)).otherwise(F.col("_first.status")).alias("status")
+    return folded.select(
+        *(c if c in ("url", "priority") else status if c == "status" else F.col(f"_first.{c}").alias(c)
+          for c in frontier.columns)
+    )
 
 
 def mark_processed(frontier: DataFrame, urls: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.operators.frontier import seed_frontier
+from linkloom.plans import expand
 from linkloom.plans.bfs import bfs_depths
 from linkloom.plans.expand import CrawlState, expand_frontier, prepare_site
 from linkloom.schemas import PAGES
@@ -53,6 +54,7 @@ def test_bfs_shuffles_neither_edges_nor_visited(spark):
         [(f"a{i}", f"b{i}", 0) for i in range(50)], "src string, dst string, salt int"
     )
     visited = spark.createDataFrame([("a1", 0, None)], "url string, depth int, parent_url string")
+    hubs = spark.createDataFrame([("a1", 2)], "src string, shares long")
     names = ("edges_t", "visited_t")
     bfs._bucketed(edges, names[0], scratch_path(spark, "e"), 8, ["src", "salt"])
     bfs._bucketed(visited, names[1], scratch_path(spark, "v"), 8, ["url"])
@@ -60,16 +62,36 @@ def test_bfs_shuffles_neither_edges_nor_visited(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         level = bfs._next_level(
-            spark.table(names[0]), spark.table(names[1]), F.lit(0).alias("salt"), 1
+            spark.table(names[0]), spark.table(names[1]), hubs, 1
         )
         plan = level._jdf.queryExecution().executedPlan().treeString()
-        assert plan.count("Exchange hashpartitioning") == 2  # the level's sources, its targets
+        assert plan.count("Exchange hashpartitioning") == 3  # the level's sources, its targets, the few hubs
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         for name in names:
             spark.sql(f"DROP TABLE {name}")
 
 
+def test_only_hubs_are_split(spark):
+    """A page with half of all links is spread over shares of bounded size; all others stay whole."""
+    from linkloom.plans import bfs
+
+    rng = random.Random(4)
+    edges = [("hub", f"n{i}") for i in range(2000)] + [(f"n{rng.randrange(500)}", f"n{rng.randrange(2000)}") for _ in range(2000)]
+    df = spark.createDataFrame(edges, "src string, dst string")
+    (hub,) = bfs.hub_shares(df, 100).collect()
+    assert (hub.src, hub.shares) == ("hub", 20)
+    salted = df.join(bfs.hub_shares(df, 100), "src", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("dst"), F.coalesce("shares", F.lit(1)))
+    )
+    sizes = sorted(r["count"] for r in salted.groupBy("src", "salt").count().collect())
+    assert sizes[-1] < 150 and salted.where("shares is null and salt != 0").count() == 0
+    start = spark.createDataFrame([("hub",), ("n1",)], "url string")
+    for share in (100, 3, 10**6):
+        got = bfs_depths(df, start, 4, share_edges=share).collect()
+        assert {tuple(r) for r in got} == _levels(edges, ["hub", "n1"], 4)
+
+
 def test_bfs_leaves_no_edge_files(spark):
     folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
     edges = spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string")
@@ -181,6 +203,42 @@ def test_empty_frontier_stops(spark):
     assert _outcomes(state) == {(1, "http://h/d", "processed", None)}
 
 
+def _bytes(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_rounds_write_their_batch_only(spark):
+    """What a round adds to the shared folder follows the batch, not the frontier; nothing else stays."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    site, at = prepare_site(_site(spark)), F.lit("2024-01-01").cast("timestamp")
+    written = []
+    for extra in (10, 20_000):
+        seeds = spark.createDataFrame([("http://h/",)] + [(f"http://x/{i}",) for i in range(extra)], "url string")
+        waiting = seed_frontier(seeds).withColumn("priority", F.when(F.col("url") == "http://h/", 100).otherwise(1))
+        frontier = waiting.select(*(F.col(f.name).cast(f.dataType) for f in waiting.schema.fields))
+        pages = spark.createDataFrame([], PAGES).drop("content")
+        before = set(folder.iterdir())
+        state = expand_frontier(CrawlState(frontier, pages), site, 1, 5, F.lit(1), at)
+        assert state.outcomes.count() == 1 and state.frontier.count() == extra + 4
+        (left,) = set(folder.iterdir()) - before
+        assert sorted(p.name for p in left.iterdir()) == ["batch", "links", "outcomes", "pages"]
+        written.append(_bytes(left))
+    assert written[1] < 1.2 * written[0]
+
+
+def test_logs_are_merged_now_and_then(spark, monkeypatch):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    whole = _crawl(spark, ["http://h/"], rounds=3, k=1)
+    expected = [sorted(map(tuple, df.collect()), key=str) for df in (whole.frontier, whole.pages, whole.seen)]
+    monkeypatch.setattr(expand, "MERGE_ROUNDS", 2)
+    before = set(folder.iterdir())
+    state = _crawl(spark, ["http://h/"], rounds=3, k=1)
+    assert _outcomes(state) == _outcomes(whole)
+    assert [sorted(map(tuple, df.collect()), key=str) for df in (state.frontier, state.pages, state.seen)] == expected
+    names = [p.name.rpartition("-")[0] for p in set(folder.iterdir()) - before]
+    assert sorted(n for n in names if n.startswith("merged")) == ["merged-frontier", "merged-pages", "merged-seen"]
+
+
 def test_rounds_may_go_on_later(spark):
     """Numbering starts anew with every call; a completed URL keeps its state all the same."""
     state = _crawl(spark, ["http://h/"], rounds=3, k=1)
