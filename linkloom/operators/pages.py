@@ -10,8 +10,8 @@ from ..schemas import PAGES
 FIRST_COLUMNS = ("page_id", "depth", "parent_url")
 
 
-def page_rows(analyzed: DataFrame) -> DataFrame:
-    """Rows of the page table from analysed captures.
+def page_rows(analyzed: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of the page table from analysed captures, with the columns ``also`` as they are.
 
     ``page_id`` is taken from the input or derived from the URL. The page text is only kept
     when the input has a ``content`` column: it can be fetched by URL from the captures, so
@@ -29,7 +29,8 @@ def page_rows(analyzed: DataFrame) -> DataFrame:
             .cast(f.dataType)
             .alias(f.name)
             for f in names
-        )
+        ),
+        *also,
     )
 
 

@@ -21,8 +21,10 @@ from ..schemas import ERROR, FETCH_FAILED, FRONTIER, IRRELEVANT_TYPE, PAGES, PRO
 from ..session import drop_path
 from ..sources.tables import committed_numbers, current_version, read_table, write_table
 
-LOG, FAULTS, FOLDED = "log", "faults", "folded"
-FAULT = T.StructType().add("url", "string").add("reason", "string")
+LOG, FOLDED = "log", "folded"
+# Captures that were stored and those that weren't, as folders of a batch.
+KIND, PAGE, FAULT = "kind", "page", "fault"
+SCORED = T.StructType([f for f in PAGES.fields if f.name != "content"]).add("reason", "string")
 
 
 def _start(
@@ -37,21 +39,20 @@ def _start(
     )
 
 
-def _append(rows: DataFrame, root: str, part: str, batch_id: int) -> None:
+def _append(rows: DataFrame, root: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
     """Write a micro-batch unless an earlier attempt has committed it."""
-    if batch_id not in committed_numbers(rows.sparkSession, f"{root}/{part}", "batch_id"):
-        rows.write.mode("overwrite").parquet(f"{root}/{part}/batch_id={batch_id}")
+    if batch_id not in committed_numbers(rows.sparkSession, f"{root}/{LOG}", "batch_id"):
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/{LOG}/batch_id={batch_id}")
 
 
-def _read_batches(
-    spark: SparkSession, root: str, part: str, after: int, schema: T.StructType
-) -> DataFrame:
-    """Committed batches with a greater number, with their ``batch_id``."""
-    numbers = [n for n in committed_numbers(spark, f"{root}/{part}", "batch_id") if n > after]
+def _read_batches(spark: SparkSession, root: str, after: int, schema: T.StructType) -> DataFrame:
+    """Committed batches with a greater number, with their ``batch_id`` and what else they are partitioned by."""
+    numbers = [n for n in committed_numbers(spark, f"{root}/{LOG}", "batch_id") if n > after]
+    schema = T.StructType(list(schema.fields)).add("batch_id", T.IntegerType())
     if not numbers:
-        return spark.createDataFrame([], T.StructType(list(schema.fields)).add("batch_id", T.IntegerType()))
-    paths = [f"{root}/{part}/batch_id={n}" for n in numbers]
-    return spark.read.option("basePath", f"{root}/{part}").parquet(*paths)
+        return spark.createDataFrame([], schema)
+    paths = [f"{root}/{LOG}/batch_id={n}" for n in numbers]
+    return spark.read.schema(schema).option("basePath", f"{root}/{LOG}").parquet(*paths)
 
 
 def stream_score(
@@ -60,25 +61,38 @@ def stream_score(
     """Score a stream of captures into the page store at ``root``; the page text is not kept.
 
     Failed fetches and irrelevant content types never reach the pages, so they replace nothing; they go
-    to a log of their own (:func:`read_faults`).
+    to a log of their own (:func:`read_faults`). A micro-batch is read once and written once.
     """
-    reason = F.when(F.col("html").isNull(), FETCH_FAILED).when(
-        ~is_relevant_content(F.col("content_type")), IRRELEVANT_TYPE
-    )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        marked = batch.withColumn("_fault", reason)
-        faults = marked.filter(F.col("_fault").isNotNull())
-        _append(faults.select("url", F.col("_fault").alias("reason")), root, FAULTS, batch_id)
-        good = marked.filter(F.col("_fault").isNull()).drop("_fault")
-        _append(page_rows(analyze_content(good)), root, LOG, batch_id)
+        _append(scored_batch(batch), root, batch_id, (KIND,))
 
     return _start(captures, write, checkpoint, trigger)
 
 
+def scored_batch(captures: DataFrame) -> DataFrame:
+    """Page rows with ``kind``, and ``reason`` for what must not be stored: of that only the URL counts, its text is
+    left out before it is looked at."""
+    fault = F.when(F.col("html").isNull(), FETCH_FAILED).when(
+        ~is_relevant_content(F.col("content_type")), IRRELEVANT_TYPE
+    )
+    judged = captures.withColumn("reason", fault).withColumn(
+        "html", F.when(F.col("reason").isNull(), F.col("html"))
+    )
+    kind = F.when(F.col("reason").isNull(), PAGE).otherwise(FAULT)
+    return page_rows(analyze_content(judged), ("reason",)).withColumn(KIND, kind)
+
+
+def _read_kind(spark: SparkSession, root: str, after: int, kind: str) -> DataFrame:
+    schema = T.StructType(list(SCORED.fields)).add(KIND, "string")
+    # A batch that is not partitioned holds pages only.
+    rows = _read_batches(spark, root, after, schema)
+    return rows.filter(F.coalesce(KIND, F.lit(PAGE)) == kind).drop(KIND)
+
+
 def read_faults(spark: SparkSession, root: str) -> DataFrame:
     """``url, reason, batch_id`` of the captures that were not stored."""
-    return _read_batches(spark, root, FAULTS, -1, FAULT)
+    return _read_kind(spark, root, -1, FAULT).select("url", "reason", "batch_id")
 
 
 def _folded(spark: SparkSession, root: str) -> tuple[int, DataFrame | None]:
@@ -92,8 +106,7 @@ def _folded(spark: SparkSession, root: str) -> tuple[int, DataFrame | None]:
 def read_scored(spark: SparkSession, root: str) -> DataFrame:
     """Current pages of the store: the last batch wins, the first origin stays."""
     upto, folded = _folded(spark, root)
-    schema = T.StructType([f for f in PAGES.fields if f.name != "content"])
-    newer = _read_batches(spark, root, LOG, upto, schema)
+    newer = _read_kind(spark, root, upto, PAGE).drop("reason")
     if folded is None:
         return fold_pages(newer, "batch_id")
     return upsert_pages(folded.withColumn("batch_id", F.lit(upto)), newer, "batch_id").drop(
@@ -107,7 +120,7 @@ def stream_frontier(
     """Append a stream of frontier rows to the frontier store at ``root``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _append(batch, root, LOG, batch_id)
+        _append(batch, root, batch_id)
 
     return _start(links.select(*FRONTIER.fieldNames()), write, checkpoint, trigger)
 
@@ -118,7 +131,7 @@ def read_frontier(spark: SparkSession, root: str) -> DataFrame:
     upto, folded = _folded(spark, root)
     if folded is None:
         folded = spark.createDataFrame([], FRONTIER)
-    newer = _read_batches(spark, root, LOG, upto, FRONTIER)
+    newer = _read_batches(spark, root, upto, FRONTIER)
     return add_to_frontier(folded, newer.withColumn("seq", F.col("batch_id").cast("long")))
 
 
@@ -128,14 +141,15 @@ def compact(
     """Fold the log of a store so that readers start from there, and drop what was folded.
 
     ``read`` is :func:`read_scored` or :func:`read_frontier`. The new version carries the number of
-    the last batch in it; call this between micro-batches, while nobody reads.
+    the last batch in it; call this between micro-batches, while nobody reads. Faults are not folded and stay.
     """
     numbers = committed_numbers(spark, f"{root}/{LOG}", "batch_id")
     if not numbers:
         return
     write_table(read(spark, root), f"{root}/{FOLDED}", version=numbers[-1])
     for n in numbers:
-        drop_path(spark, f"{root}/{LOG}/batch_id={n}")
+        folded = f"{root}/{LOG}/batch_id={n}"
+        drop_path(spark, f"{folded}/{KIND}={PAGE}" if read is read_scored else folded)
 
 
 def stream_dedup(captures: DataFrame, delay: str | None = None) -> DataFrame:
