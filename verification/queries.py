@@ -12,6 +12,7 @@ from linkloom.operators import content, dedup, frontier as FR, links as L, outco
 from linkloom.operators import pages as P
 from linkloom.plans import bfs, expand, reports
 from linkloom.session import scratch_path, stored
+from linkloom.sources import frontier_table
 from linkloom.sources.captures import captured_pages as as_captures
 from linkloom.sources.tables import read_table, write_table
 from linkloom.streaming import streams
@@ -394,6 +395,14 @@ def next_urls(spark, sf_dir):
     return _frontier_columns(FR.next_urls(within, BATCH))
 
 
+@query
+def next_urls_stored(spark, sf_dir):
+    """The same batch from a frontier table in order."""
+    root = scratch_path(spark, "frontier-table")
+    frontier_table.write_frontier(FR.within_depth(_merged(spark, sf_dir), 1), root)
+    return _frontier_columns(frontier_table.best_stored(spark, root, BATCH))
+
+
 @query
 def within_depth(spark, sf_dir):
     return _frontier_columns(FR.within_depth(_merged(spark, sf_dir), 0))
