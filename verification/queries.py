@@ -12,7 +12,7 @@ from linkloom.operators import content, dedup, frontier as FR, links as L, outco
 from linkloom.operators import pages as P
 from linkloom.plans import bfs, expand, reports
 from linkloom.session import scratch_path, stored
-from linkloom.sources import frontier_table
+from linkloom.sources import frontier_table, link_table
 from linkloom.sources.captures import captured_pages as as_captures
 from linkloom.sources.tables import read_table, write_table
 from linkloom.streaming import streams
@@ -321,6 +321,15 @@ def page_links(spark, sf_dir):
     )
 
 
+@query
+def link_arrivals(spark, sf_dir):
+    """The link table after pages have come in three arrivals."""
+    root, captures = scratch_path(spark, "link-table"), I.linked_captures(spark, sf_dir)
+    for arrival in range(3):
+        link_table.add_arrival(captures.where(F.col("page_id") % 3 == arrival), root, arrival)
+    return link_table.read_links(spark, root).select("source_id", "target_id", "url", "anchor", "rel", long("pos"))
+
+
 # --- filters and de-duplication --------------------------------------------------------------
 
 
