@@ -140,7 +140,7 @@ def compact(
 ) -> None:
     """Fold the log of a store so that readers start from there, and drop what was folded.
 
-    ``read`` is :func:`read_scored` or :func:`read_frontier`. The new version carries the number of
+    ``read`` is :func:`read_scored`, :func:`read_frontier` or :func:`read_unique`. The new version carries the number of
     the last batch in it; call this between micro-batches, while nobody reads. Faults are not folded and stay.
     """
     numbers = committed_numbers(spark, f"{root}/{LOG}", "batch_id")
@@ -167,6 +167,54 @@ def stream_dedup(captures: DataFrame, delay: str | None = None) -> DataFrame:
     return hashed.withWatermark("captured_at", delay).dropDuplicatesWithinWatermark(["hash"])
 
 
+def stream_unique(
+    captures: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Captures without bodies that were seen before, however long ago, into the store at ``root``.
+
+    The store is the memory: a micro-batch loses its own copies (the smallest row stays) and then those whose hash
+    an earlier batch has. So the stream keeps no state, nothing expires and no late copy passes. The hashes that a batch
+    shares with the store are found first: of the store only the hash column is read, and where the batch is small Spark sends
+    its hashes to that scan, so that the store isn't shuffled. Hash and size stand for the body, as in :func:`stream_dedup`.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = _hashed(batch)
+        others = [c for c in rows.columns if c != "hash"]
+        # A hash that came very often reaches its reducer as one row per task.
+        first = rows.groupBy("hash").agg(F.min(F.struct(*others)).alias("_first"))
+        spark = batch.sparkSession
+        earlier = [n for n in committed_numbers(spark, f"{root}/{LOG}", "batch_id") if n < batch_id]
+        if earlier or current_version(spark, f"{root}/{FOLDED}") is not None:
+            known = read_unique(spark, root).where(F.col("batch_id") < batch_id).select("hash")
+            common = known.join(rows.select("hash"), "hash", "left_semi")
+            first = first.join(common, "hash", "left_anti")
+        _append(first.select("hash", *(F.col(f"_first.{c}").alias(c) for c in others)), root, batch_id)
+
+    return _start(captures, write, checkpoint, trigger)
+
+
+def _hashed(captures: DataFrame) -> DataFrame:
+    """Captures with hash and size of their body in its place; a failed fetch has no body and is left out."""
+    return captures.where("html is not null").withColumns(
+        {"hash": F.md5("html"), "size": F.octet_length("html").cast("long")}
+    ).drop("html")
+
+
+def read_unique(spark: SparkSession, root: str) -> DataFrame:
+    """The rows that :func:`stream_unique` has kept, with the ``batch_id`` that brought them."""
+    upto, folded = _folded(spark, root)
+    numbers = [n for n in committed_numbers(spark, f"{root}/{LOG}", "batch_id") if n > upto]
+    paths = [f"{root}/{LOG}/batch_id={n}" for n in numbers]
+    newer = spark.read.option("basePath", f"{root}/{LOG}").parquet(*paths) if paths else None
+    if folded is None or newer is None:
+        found = folded if newer is None else newer
+        if found is None:
+            raise FileNotFoundError(f"no committed batch in {root}")
+        return found
+    return folded.unionByName(newer)
+
+
 def stream_stats(
     outcomes: DataFrame, window: str | None = None, delay: str = "10 minutes"
 ) -> DataFrame:

@@ -107,6 +107,37 @@ def test_bounded_dedup(spark, split, tmp_path):
     assert spark.read.parquet(out).count() == 2
 
 
+def test_no_late_copy_passes(spark, tmp_path):
+    """A copy is dropped however many batches later it comes, also after the store was compacted; replays add nothing."""
+    root, path = str(tmp_path / "store"), str(tmp_path / "input")
+    schema = "doc_id long, html string"
+
+    def load(checkpoint, *rows):
+        if rows:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+        _finish(streams.stream_unique(stream, root, str(tmp_path / checkpoint)))
+        return sorted(r.doc_id for r in streams.read_unique(spark, root).collect())
+
+    assert load("c", (2, "same"), (1, "same"), (3, "other"), (4, None)) == [1, 3]
+    assert load("c", (5, "same"), (6, "new"), (7, "")) == [1, 3, 6, 7]
+    assert load("c", (8, "other"), (9, "")) == [1, 3, 6, 7]
+    assert load("replay") == [1, 3, 6, 7]
+    streams.compact(spark, root, streams.read_unique)
+    assert load("c", (10, "same"), (11, "last"), (12, "new")) == [1, 3, 6, 7, 11]
+    with pytest.raises(FileNotFoundError):
+        streams.read_unique(spark, str(tmp_path / "none"))
+
+
+def test_unique_bodies_equal_batch(spark, split, tmp_path):
+    documents = spark.read.parquet(DOCUMENTS).select(F.col("text").alias("html"), "doc_id")
+    batch, stream = split(documents)
+    root = str(tmp_path / "store")
+    _finish(streams.stream_unique(stream, root, str(tmp_path / "checkpoint")))
+    got = [r.hash for r in streams.read_unique(spark, root).collect()]
+    assert sorted(got) == sorted(r[0] for r in batch.select(F.md5("html")).distinct().collect())
+
+
 def test_frontier_equals_batch(spark, split, tmp_path):
     batch, stream = split(captured_pages(spark.read.parquet(PAGES)))
     at = F.lit("2024-01-01").cast("timestamp")

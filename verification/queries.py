@@ -636,6 +636,19 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").select("hash", long("size"))
 
 
+@query
+def stream_unique(spark, sf_dir):
+    """Bodies kept by a stream whose memory is its store."""
+    root = scratch_path(spark, "unique")
+    documents = I.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("html"))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        return streams.stream_unique(stream, root, f"{root}/checkpoint")
+
+    _in_batches(spark, documents, F.pmod("doc_id", F.lit(SLICES)), start)
+    return streams.read_unique(spark, root).select("hash", long("size"))
+
+
 @query
 def stream_frontier(spark, sf_dir):
     root, pages = scratch_path(spark, "frontier"), I.table(spark, sf_dir, "pages")
