@@ -27,6 +27,15 @@ def capture_facts(captures: DataFrame) -> DataFrame:
     ).drop("html")
 
 
+def only_keys_of(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The distinct keys of ``table`` that ``batch`` has as well.
+
+    The table is on the side that streams: Spark broadcasts the batch's keys where they are few, or makes a Bloom filter of
+    them where both are large, and either drops the other keys in the scan, before any shuffle.
+    """
+    return table.select(key).join(batch.select(key), key, "left_semi").distinct()
+
+
 def classify_outcomes(
     facts: DataFrame, pages: DataFrame, seen: DataFrame | None = None
 ) -> DataFrame:
@@ -40,6 +49,9 @@ def classify_outcomes(
     Repeated URLs are combined before the one shuffle of the facts. The winner of each hash comes from an
     aggregation, which combines copies early, and goes back to the facts by URL, where they already are; all
     joins are on keys that are unique on one side. Nothing is ranked within a hash.
+
+    ``pages`` and ``seen`` may be far larger than the facts. Only those of their keys that the facts have take part
+    (see :func:`only_keys_of`), so a stored batch that is small enough for Spark to broadcast moves nothing else of either table.
     """
     if "captured" not in facts.columns:
         facts = facts.withColumn("captured", F.lit(True))
@@ -48,7 +60,7 @@ def classify_outcomes(
     single = facts.groupBy("url").agg(
         F.min(F.struct(order.alias("_order"), *carried)).alias("_row")
     ).select("url", *(f"_row.{c}" for c in carried))
-    known = pages.select("url").distinct().withColumn("_known", F.lit(True))
+    known = only_keys_of(pages, single, "url").withColumn("_known", F.lit(True))
     flagged = single.join(known, "url", "left").withColumn(
         "_reason",
         F.when(F.col("_known"), ALREADY_CRAWLED)
@@ -60,7 +72,7 @@ def classify_outcomes(
     rank = F.struct("depth", (-F.col("priority")).alias("_rank"), "seq", "url")
     winners = eligible.groupBy("hash").agg(F.min(rank).alias("_first"))
     if seen is not None:
-        winners = winners.join(seen.select("hash").distinct(), "hash", "left_anti")
+        winners = winners.join(only_keys_of(seen, winners, "hash"), "hash", "left_anti")
     winners = winners.select(F.col("_first.url").alias("url"), F.lit(True).alias("_wins"))
     decided = flagged.join(winners, "url", "left").withColumn(
         "reason",

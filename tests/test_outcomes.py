@@ -75,3 +75,35 @@ def test_irrelevant_types(spark):
     df = spark.createDataFrame([("text/html",), (None,), ("image/png",)], "content_type string")
     assert [r.content_type for r in drop_irrelevant(df).collect()] == ["text/html"]
     assert drop_irrelevant(df.withColumn("x", F.lit(1))).columns == ["content_type", "x"]
+
+
+def test_tables_of_the_past_are_narrowed_to_the_batch(spark, tmp_path):
+    """A large page store and a large table of hashes are scanned, but only keys of the batch are shuffled."""
+    n = 200_000
+    spark.range(n).select(F.concat(F.lit("u"), "id").alias("url")).write.parquet(f"{tmp_path}/pages")
+    spark.range(n).select(F.md5(F.concat(F.lit("body "), "id")).alias("hash")).write.parquet(f"{tmp_path}/seen")
+    rows = [(f"u{n + i}" if i % 4 else f"u{i}", f"body {i}" if i % 3 == 0 else f"new {i}", "text/html", i, None, "smart", 0, 1, i) for i in range(300)]
+    capture_facts(spark.createDataFrame(rows, SCHEMA)).write.parquet(f"{tmp_path}/facts")  # as rounds do: Spark knows the size
+    plan = classify_outcomes(spark.read.parquet(f"{tmp_path}/facts"), spark.read.parquet(f"{tmp_path}/pages"), spark.read.parquet(f"{tmp_path}/seen"))
+    got = {r.url: r.reason for r in plan.collect()}
+    for url, html, *_ in rows:
+        assert got[url] == ("already_crawled" if int(url[1:]) < n else "duplicate_content" if html.startswith("body") else None)
+    assert max(_shuffled_rows(plan)) <= len(rows)
+
+
+def _shuffled_rows(df):
+    """Rows written by each shuffle of the plan that ran."""
+    plan, found = [df._jdf.queryExecution().executedPlan()], []
+    while plan:
+        node = plan.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            plan.append(node.executedPlan())
+            continue
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            plan.append(node.plan())
+            continue
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        plan += [children.apply(i) for i in range(children.size())]
+    return found
