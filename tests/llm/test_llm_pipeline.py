@@ -16,7 +16,7 @@ ROOT = "/root/testdata/sf0.001"
 def test_all_queries_are_registered():
     registered = entry_point.queries()
     assert set(QUERIES) <= set(registered) and "pipeline" in registered
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
