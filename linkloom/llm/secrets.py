@@ -1,9 +1,10 @@
 """Secret scan: three base patterns and an assignment-aware lexer.
 
 The base patterns (``assign``, ``access``, ``hex``) report every leftmost non-overlapping match that is long
-enough. The lexer reads source and configuration syntax into (name, value) pairs, follows names that stand for
-other names, joins literals that are added up, and scores each literal by the names that it reaches. Literals
-with a score of ``THRESHOLD`` or more are reported as ``literal`` spans beside the base ones.
+enough. The lexer reads source and configuration syntax into (name, value) pairs: plain names, quoted ones, subscripts, long options, and
+values that stand in a call. It follows names that stand for other names, and scores each literal by the names that it reaches. Constants are
+propagated in the order of the text: a value that is put together from literals and names is scored as a whole, and if it is a secret, all of
+the literals that it was put together from are. Literals with a score of ``THRESHOLD`` or more are reported as ``literal`` spans beside the base ones.
 """
 
 from __future__ import annotations
@@ -32,11 +33,13 @@ _HEX = np.isin(np.arange(256), list(b"0123456789abcdef"))
 #: A pair starts with a name, quoted or not, with an optional declaration word before it; then ``=``, ``:=``, ``=>``, ``:`` or a
 #: blank after a long option; then a value: literals or names joined by ``+`` or ``.``. Repeats are possessive, so no length needs a bound.
 _NAME = r"""(?:(?<![\w.$-])(?P<option>--)?(?P<name>[A-Za-z_][\w.-]*+)|(?P<quote>["'])(?P<quoted>[A-Za-z_][\w. -]*+)(?P=quote))"""
-_PAIR = re.compile(_NAME + r"""[ \t]*+(?:(?P<sign>:=|=>|==?|:)[ \t]*+(?=\S)|(?(option)(?<=[ \t])(?=[^\s-])|(?!)))""")
+_PAIR = re.compile(_NAME + r"""[ \t]*+(?:\][ \t]*+)?(?:(?P<sign>:=|=>|==?|:)[ \t]*+(?=\S)|(?(option)(?<=[ \t])(?=[^\s-])|(?!)))""")
 _ATOM = re.compile(
     r"""[brufBRUF]{0,2}\"{3}(?P<triple>(?:[^"\\]++|\\[\s\S]|"(?!""))*+)\"{3}|[brufBRUF]{0,2}'{3}(?P<triple1>(?:[^'\\]++|\\[\s\S]|'(?!''))*+)'{3}"""
     r"""|`(?P<tick>(?:[^`\\]++|\\[\s\S])*+)`|[brufBRUF]{0,2}"(?P<double>(?:[^"\\\n]|\\.)*)"|[brufBRUF]{0,2}'(?P<single>(?:[^'\\\n]|\\.)*)'|\$\{(?P<hole>[A-Za-z_]\w*+)\}|\$?(?P<word>[^\s"'`,;(){}\[\]<>|&#]+)"""
 )
+#: A literal as the first argument of calls, one within the other.
+_CALL = re.compile(r"""(?:new[ \t]++)?(?:(?P<function>[A-Za-z_][\w.:]*+)[ \t]*+\([ \t]*+)++(?=[brufBRUF]{0,2}["'`])""")
 _PLUS = re.compile(r"[ \t]*[+.][ \t]*(?=[\"'A-Za-z_$])")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _IDENTIFIER = re.compile(r"[A-Za-z_][\w.]*\Z")
@@ -49,6 +52,8 @@ SENSITIVE = {
 }
 #: Name parts that make a literal harmless: what it says is about a secret, not one.
 HARMLESS = {"public", "example", "sample", "placeholder", "hint", "label", "length", "len", "count", "name", "url", "type", "path", "file", "id", "max", "min"}
+#: Parts of the names of functions whose argument says where a value is, not what it is.
+LOOKUPS = {"get", "getenv", "env", "environ", "find", "lookup", "load", "read", "open", "fetch", "require", "format", "print", "log", "error", "prompt", "input", "path", "has"}
 DUMMY = re.compile(r"(?i)\A(?:x+|\*+|\.+|changeme|none|null|true|false|undefined|todo|example.*|your[-_ ].*|<.*>|\$\{.*\}|%\(.*\)s)\Z")
 
 
@@ -61,16 +66,22 @@ def name_weight(name: str) -> float:
 
 
 def literal_weight(value: str) -> float:
-    """How much a literal looks like key material: length, entropy and mix of characters."""
-    if len(value) < 6 or DUMMY.match(value) or len(set(value)) < 3:
+    """How much a literal looks like key material."""
+    if DUMMY.match(value):
         return -5.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9 ]"))
+    return characters_weight(Counter(value)) - (1.5 if " " in value.strip() else 0.0)
+
+
+def characters_weight(signs: Counter) -> float:
+    """The same by the characters alone: their number, entropy and mix."""
+    n = sum(signs.values())
+    if n < 6 or len(signs) < 3:
+        return -5.0
+    entropy = -sum(c / n * math.log2(c / n) for c in signs.values())
+    every = "".join(signs)
+    classes = sum(bool(re.search(p, every)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9 ]"))
     weight = min(n, 40) / 40 + entropy / 4 + 0.3 * (classes - 1)
-    if " " in value.strip():
-        weight -= 1.5
-    if classes == 1 and not re.search("[0-9]", value):
+    if classes == 1 and not re.search("[0-9]", every):
         weight -= 0.8
     return weight
 
@@ -81,9 +92,16 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
         if m["sign"] == "==":
             continue
         at, atoms = m.end(), []
-        while a := _ATOM.match(text, at):
+        while True:
+            call = _CALL.match(text, at)
+            a = _ATOM.match(text, call.end() if call else at)
+            if not a:
+                break
             kind = a.lastgroup
-            if kind == "word" and _IDENTIFIER.match(a["word"]):
+            if call:
+                if not LOOKUPS & {p.lower() for p in _PARTS.findall(call["function"])} and re.search("[0-9]", a[kind] or ""):
+                    atoms.append(("literal", a[kind], a.start(kind), a.end(kind)))
+            elif kind == "word" and _IDENTIFIER.match(a["word"]):
                 atoms.append(("name", a["word"].rstrip("."), a.start("word"), a.end("word")))
             elif kind == "hole":
                 atoms.append(("name", a["hole"], a.start("hole"), a.end("hole")))
@@ -97,6 +115,30 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
             yield (m["name"] or m["quoted"]).split(".")[-1], atoms
 
 
+def assembled(found: list[tuple[str, list[tuple[str, str, int, int]]]], defined: set[str]) -> tuple[dict[int, Counter], list[list[int]]]:
+    """Characters of the values that are put together from parts, a name among them, by what the names stand for when the text gets
+    there; and the assignments that each assignment takes its names' values from. Counts of a character stop at a million."""
+    last: dict[str, int] = {}
+    signs: list[Counter] = []
+    joined, takes = {}, []
+    for i, (name, atoms) in enumerate(found):
+        own, sources = Counter(), []
+        for kind, value, _, _ in atoms:
+            source = last.get(value.split(".")[-1]) if kind == "name" else None
+            if source is not None:
+                sources.append(source)
+                for c, n in signs[source].items():
+                    own[c] = min(own[c] + n, 10**6)
+            elif kind == "literal" or value.split(".")[-1] not in defined:
+                own.update(value)
+        if sources:
+            joined[i] = own
+        signs.append(own)
+        takes.append(sources)
+        last[name] = i
+    return joined, takes
+
+
 def lexed_spans(text: str) -> list[tuple[int, int, float]]:
     """Literals that reach a sensitive name: (start, end, score). Reads the whole text; a name that gets several
     values keeps each. A bare word that no assignment defines is a literal of its own (as in configuration files)."""
@@ -119,12 +161,23 @@ def lexed_spans(text: str) -> list[tuple[int, int, float]]:
             if best[name] > best[source]:
                 best[source] = best[name]
                 work.append(source)
+    joined: dict[int, float] = {}  # assignment -> weight of the best secret that its literals are part of
+    if feeds:
+        signs, takes = assembled(found, defined)
+        weights = {i: characters_weight(c) for i, c in signs.items() if best[found[i][0]] > 0}
+        for top in sorted(weights, key=weights.get, reverse=True):  # the heaviest first, so each assignment is visited once
+            todo = [top] if best[found[top][0]] + weights[top] - 1.0 >= THRESHOLD else []
+            while todo:
+                i = todo.pop()
+                if i not in joined:
+                    joined[i] = weights[top]
+                    todo += takes[i]
     out = []
-    for name, atoms in found:
+    for i, (name, atoms) in enumerate(found):
         if best[name] <= 0:
             continue
         literals = [a for a in atoms if a[0] == "literal" or a[1].split(".")[-1] not in defined]
-        whole = literal_weight("".join(a[1] for a in literals))
+        whole = max(literal_weight("".join(a[1] for a in literals)), joined.get(i, -5.0))
         for kind, value, start, end in literals:
             if kind == "name" and not re.search(r"\d", value):
                 continue

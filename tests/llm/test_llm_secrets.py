@@ -82,7 +82,30 @@ def test_lexer_without_length_caps(text, literals):
     assert [text[s:e] for s, k, e in S.spans(text, []) if k == 3] == literals
 
 
-@pytest.mark.parametrize("unit", ["a", "a ", "--a ", " ", 'a="""', "a=`", "a='''\\", '"a', '"a b":', "a.b-", '"""', "a=\\`"])
+@pytest.mark.parametrize(
+    ("text", "literals"),
+    [
+        ("os.environ['CLIENT_CREDENTIAL'] = 'Zk29dk30dk39x'", ["Zk29dk30dk39x"]),
+        ('conf["signing_key"] = "Zk29dk30dk39Qp81"', ["Zk29dk30dk39Qp81"]),
+        ('privateKey = new String("Zk29dk30dk39Qp81")', ["Zk29dk30dk39Qp81"]),
+        ("signing_key := f(`Zk29dk30dk39Qp81`)", ["Zk29dk30dk39Qp81"]),
+        ('client_credential = decode(bytes( b"Zk29dk30dk39"))', ["Zk29dk30dk39"]),
+        ('client_credential = os.environ.get("CLIENT_CREDENTIAL_2")', []),
+        ('client_credential = getenv("APP_CREDENTIAL_V1")', []),
+        ('client_credential = connect("production")', []),
+        ('a = "Zk29"\nb = "dk30dk39"\nclient_secret_val = a + b', ["Zk29", "dk30dk39"]),
+        ('a = "Zk29"\nc = a\nclient_secret_val = c + "dk30" + "dk39"', ["Zk29", "dk30", "dk39"]),
+        ('client_secret_val = a + b\na = "hello"\nb = "world"', []),
+        ('a = "Zk29"\nb = "dk30dk39"\ntitle = a + b', []),
+        ('a = a + "x9"\n' * 500 + "client_secret_val = a + b", ["x9"] * 500),
+        ('a = "Zk29"\n' + "a = a + a\n" * 3000 + "client_secret_val = a + b", ["Zk29"]),
+    ],
+)
+def test_lexer_follows_values(text, literals):
+    assert [text[s:e] for s, k, e in S.spans(text, []) if k == 3] == literals
+
+
+@pytest.mark.parametrize("unit", ["a=f(", "a=f(f(", "x=a(", "a['b']=", "a=a+'b1'\n", "secret_a=b+'c1'\nb=secret_a+'d2'\n", "a", "a ", "--a ", " ", 'a="""', "a=`", "a='''\\", '"a', '"a b":', "a.b-", '"""', "a=\\`"])
 def test_lexer_is_linear(unit):
     start = time.process_time()
     S.spans("secret = " + unit * (600_000 // len(unit)), [])
