@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm import conversations, decontaminate, hard_negatives, language, masked_lm, near_dup, page_text, pieces, quality_crf, secrets, spot_signatures, token_store, warc
-from linkloom.session import find_package
+from linkloom.session import find_package, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring_index("refers_to", ":", -1).cast("long").alias("refers_to"),
         "error",
     )
+    records, _ = stored(records, "warc-records")  # without payloads: the archives are read once
     # A revisit's payload is that of the response it points to.
     responses = records.where("record_type = 'response'").drop("refers_to").withColumn("payload_bytes", F.col("own_bytes"))
     revisits = records.where("record_type = 'revisit'").drop("own_bytes").join(

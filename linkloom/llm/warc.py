@@ -6,7 +6,9 @@ records that point to it. A response's HTTP body is framed in chunks (``Transfer
 records that name their origin, and the last one states the total length. Each record is a gzip member of its own.
 
 Reading: continuation records are grouped by origin, ordered by segment number, checked for gaps and for the total length,
-joined, and the chunk framing is decoded. A record that fails a check is returned with ``error`` set and no payload.
+joined, and the chunk framing is decoded. A record that fails a check is returned with ``error`` set and no payload. What is
+no WARC record, or can't be unpacked, is a row with only the file's path (as ``record_id``) and ``error``: a member that is no record costs that
+member, a file that is cut short or no archive costs the rest of that file, and a file with fewer members than its manifest says is reported too.
 """
 
 from __future__ import annotations
@@ -31,10 +33,11 @@ CHUNK_BYTES = 4 * 1024
 PAGE_URN = "urn:linkloom:page:"
 DATE = "1970-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-READ_BYTES = 1 << 20
+READ_BYTES = 1 << 16  # each record's member leaves the rest of what was read, which is copied
+BATCH_BYTES = 1 << 20
 
 MANIFEST = "path string, n_records long, n_bytes long"
-SEGMENT = "record_id string, record_type string, url string, refers_to string, digest string, number int, total long, block binary"
+SEGMENT = "record_id string, record_type string, url string, refers_to string, digest string, number int, total long, block binary, error string"
 PAYLOAD = "record_id string, record_type string, url string, refers_to string, digest string, payload binary, error string"
 
 
@@ -113,7 +116,7 @@ def page_records(page_id: int, url: str | None, payload: bytes, first: int, segm
 
 
 def members(path: str) -> Iterator[bytes]:
-    """The gzip members of a file, one at a time."""
+    """The gzip members of a file, one at a time. Raises ValueError or zlib.error where the file is cut short or no gzip file."""
     store, where = arrow_fs.FileSystem.from_uri(path)
     with store.open_input_stream(where, compression=None) as f:
         rest, unpack, out = b"", zlib.decompressobj(31), []
@@ -131,12 +134,14 @@ def members(path: str) -> Iterator[bytes]:
 
 
 def parsed(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (names in lower case) and block of a record."""
+    """Headers (names in lower case) and block of a record. Raises ValueError if it is none."""
     end = raw.find(b"\r\n\r\n")
     lines = raw[:end].decode().split("\r\n")
     if end < 0 or not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
     headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+    if missing := {"content-length", "warc-type", "warc-record-id"} - headers.keys():
+        raise ValueError(f"record has no {min(missing)}")
     block = raw[end + 4 : end + 4 + int(headers["content-length"])]
     if len(block) != int(headers["content-length"]):
         raise ValueError("record is cut short")
@@ -179,42 +184,58 @@ def write_archives(pages: DataFrame, folder: str, *, segment_bytes: int = SEGMEN
     return stored(joined.mapInArrow(write, MANIFEST), "warc-manifest")[0]
 
 
+_READ = pa.schema(
+    [(k, {"number": pa.int32(), "total": pa.int64(), "block": pa.binary()}.get(k, pa.string())) for k in (c.split()[0] for c in SEGMENT.split(", "))]
+)
+
+
+def file_records(path: str, n_records: int | None) -> Iterator[dict]:
+    """The records of a file; what can't be read as one has only ``record_id`` (the path) and ``error``."""
+    seen = 0
+    try:
+        for raw in members(path):
+            seen += 1
+            try:
+                headers, block = parsed(raw)
+                yield {
+                    "record_id": headers.get("warc-segment-origin-id", headers["warc-record-id"]).strip("<>"),
+                    "record_type": headers["warc-type"],
+                    "url": headers.get("warc-target-uri"),
+                    "refers_to": headers.get("warc-refers-to", "").strip("<>") or None,
+                    "digest": headers.get("warc-payload-digest", "").removeprefix("sha1:") or None,
+                    "number": int(headers["warc-segment-number"]) if "warc-segment-number" in headers else None,
+                    "total": int(headers["warc-segment-total-length"]) if "warc-segment-total-length" in headers else None,
+                    "block": block,
+                }
+            except ValueError as e:
+                yield {"record_id": path, "error": f"member {seen}: {e}"}
+    except (ValueError, zlib.error) as e:
+        yield {"record_id": path, "error": f"after {seen} members: {e}"}
+    else:
+        if seen < (n_records or 0):
+            yield {"record_id": path, "error": f"{seen} members instead of {n_records}"}
+
+
 def read_segments(manifest: DataFrame, segmented: bool) -> DataFrame:
-    """Records of the archives: those that are segments of a longer one, or the others."""
+    """Records of the archives: those that are segments of a longer one, or the others and what could not be read."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema(
-            [(k, pa.int32() if k == "number" else pa.int64() if k == "total" else pa.binary() if k == "block" else pa.string())
-             for k in ("record_id", "record_type", "url", "refers_to", "digest", "number", "total", "block")]
-        )
         rows, size = [], 0
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                for raw in members(path):
-                    headers, block = parsed(raw)
-                    number = headers.get("warc-segment-number")
-                    if (number is not None) != segmented or headers["warc-type"] not in ("response", "revisit", "continuation"):
+            for path, n in zip(*(batch.column(c).to_pylist() for c in ("path", "n_records"))):
+                for row in file_records(path, n):
+                    wanted = row["record_type"] in ("response", "revisit", "continuation") if "record_type" in row else True
+                    if not wanted or (row.get("number") is not None) != segmented:
                         continue
-                    rows.append(
-                        {
-                            "record_id": headers.get("warc-segment-origin-id", headers["warc-record-id"]).strip("<>"),
-                            "record_type": headers["warc-type"],
-                            "url": headers.get("warc-target-uri"),
-                            "refers_to": headers.get("warc-refers-to", "").strip("<>") or None,
-                            "digest": headers.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-                            "number": int(number) if number else None,
-                            "total": int(headers["warc-segment-total-length"]) if "warc-segment-total-length" in headers else None,
-                            "block": block,
-                        }
-                    )
-                    size += len(block)
-                    if size > READ_BYTES:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows.append(row)
+                    size += len(row.get("block", b""))
+                    if size > BATCH_BYTES:
+                        yield pa.RecordBatch.from_pylist(rows, _READ)
                         rows, size = [], 0
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema)
+            yield pa.RecordBatch.from_pylist(rows, _READ)
 
-    return manifest.select("path").repartition(max(1, manifest.count())).mapInArrow(read, SEGMENT)
+    return manifest.select("path", "n_records").repartition(max(1, manifest.count())).mapInArrow(read, SEGMENT)
 
 
 def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,25 +261,25 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 
     Parts of one record meet by its id, so what is gathered is one record's block. Parts that occur twice count once.
     """
-    whole = read_segments(manifest, False).withColumn("error", F.lit(None).cast("string"))
+    whole = read_segments(manifest, False)
     parts = read_segments(manifest, True)
     once = parts.groupBy("record_id", "number").agg(
         *(F.max(k).alias(k) for k in ("url", "digest", "total")), F.min_by("record_type", F.when(F.col("number") == 1, 0).otherwise(1)).alias("record_type"), F.first("block").alias("block")
     )
     gathered = once.groupBy("record_id").agg(
-        F.array_sort(F.collect_list(F.struct("number", "block"))).alias("parts"),
+        F.expr("listagg(block) within group (order by number)").alias("block"),  # in time linear in the block
         *(F.max(k).alias(k) for k in ("url", "digest", "total")),
         F.max(F.when(F.col("number") == 1, F.col("record_type"))).alias("record_type"),
+        F.min("number").alias("low"), F.max("number").alias("high"), F.count("*").alias("n"),
     )
-    length = F.expr("aggregate(parts, 0L, (n, p) -> n + octet_length(p.block))")
     error = (
-        F.when(F.expr("parts[0].number != 1 or parts[size(parts) - 1].number != size(parts)"), F.lit("a segment is missing"))
+        F.when((F.col("low") != 1) | (F.col("high") != F.col("n")), F.lit("a segment is missing"))
         .when(F.col("total").isNull(), F.lit("the last segment is missing"))
-        .when(length != F.col("total"), F.lit("total length differs"))
+        .when(F.octet_length("block") != F.col("total"), F.lit("total length differs"))
     )
     joined = gathered.select(
         "record_id", F.coalesce("record_type", F.lit("response")).alias("record_type"), "url", F.lit(None).cast("string").alias("refers_to"), "digest",
-        F.expr("aggregate(parts, cast('' as binary), (b, p) -> concat(b, p.block))").alias("block"), error.alias("error"),
+        "block", error.alias("error"),
     )
     columns = ["record_id", "record_type", "url", "refers_to", "digest", "block", "error"]
     return whole.select(*columns).unionByName(joined.select(*columns)).mapInArrow(_payloads, PAYLOAD)

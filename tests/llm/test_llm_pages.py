@@ -1,12 +1,14 @@
 """Blocks, gradients and verdicts of the page labeller; archives written and read back."""
 
 import base64
+import gzip
 import hashlib
 import random
 import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linkloom.llm import page_text as P
 from linkloom.llm import token_store, warc
@@ -155,3 +157,38 @@ def test_query(spark):
     html = {r.page_id: (r.html or "").encode() for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
     assert {r.page_id: (r.payload_bytes, r.payload_digest) for r in rows} == {i: (len(h), digest(h)) for i, h in html.items()}
     assert warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), folder(spark)).count() == 0
+
+
+def test_unreadable_files_and_members(spark):
+    """A bad member costs itself, a bad file its rest; the other files come back whole."""
+    good = [r for i in (1, 2, 3) for r in warc.page_records(i, "u", b"page %d" % i, i, 10_000)]
+    foreign = gzip.compress(b"HTTP/1.1 200 OK\r\n\r\nno archive")
+    headless = gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\n\r\n")
+    badly_numbered = gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <x>\r\nContent-Length: many\r\n\r\n")
+
+    def read(*files):
+        paths = [write_file(spark, f).first().path for f in files]
+        rows = warc.read_archives(spark.createDataFrame([(p, 1, 1) for p in paths], warc.MANIFEST)).collect()
+        assert all(r.payload is None and r.record_type is None and r.record_id in paths for r in rows if r.error)
+        return sorted(r.payload for r in rows if not r.error), [r.error for r in rows if r.error]
+
+    pages = [b"page 1", b"page 2", b"page 3"]
+    assert read(good) == (pages, [])
+    for bad in (foreign, headless, badly_numbered):
+        payloads, errors = read([good[0], bad, *good[1:]])
+        assert payloads == pages and len(errors) == 1 and errors[0].startswith("member 2: ")
+    payloads, errors = read([*good[:2], good[2][:-9]], [b"plain text, not packed at all"], [], good)
+    assert payloads == sorted(pages[:2] + pages) and len(errors) == 3
+    assert any("ends inside a record" in e for e in errors) and "0 members instead of 1" in errors
+    assert warc.read_archives(spark.createDataFrame([], warc.MANIFEST)).count() == 0
+
+
+def test_a_very_long_page(spark):
+    """Some 1,000 parts are joined in linear time; the text never comes to the driver."""
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(500_000)), lambda i: F.substring(F.md5(i.cast("string")), 1, 32)), "")
+    pages = spark.range(1).select(F.lit(1).alias("page_id"), F.lit("u").alias("url"), text.alias("html"))
+    start = time.time()
+    found = warc.read_archives(warc.write_archives(pages, folder(spark)))
+    (row,) = found.select("error", "digest", F.octet_length("payload").alias("n"), F.sha1("payload").alias("sha")).collect()
+    assert row.error is None and row.n == 16_000_000 and base64.b32encode(bytes.fromhex(row.sha)).decode() == row.digest
+    assert time.time() - start < 60
