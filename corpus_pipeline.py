@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkloom.llm.decontaminate import contamination
 from linkloom.llm.near_dup import near_duplicates
@@ -25,17 +26,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group, once; rows without an id stay as they are."""
+    """One document of each near-duplicate group: that with the smallest id, a row without one only where no other has any.
+
+    Rows are told apart by id and text together, so an id with two texts is two documents, and rows that repeat both are one
+    (any of them stays). Null and empty texts are linked with nothing.
+    """
     find_package(spark)
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row")
+    first = rows.select("_row", "doc_id").distinct().join(found, "_row").groupBy("component_id").agg(F.min(order).alias("first")).select("first._row")
+    return rows.dropDuplicates(["_row"]).join(first, "_row", "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark."""
+    """Documents without passages of the benchmark, told apart by their texts: ids may be missing or repeated."""
     find_package(spark)
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id")
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    rows = docs.withColumn("_row", F.xxhash64("text"))
+    found = contamination(rows.select(F.col("_row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.join(found.select(F.col("doc_id").alias("_row")), "_row", "left_anti").select(docs.columns)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
