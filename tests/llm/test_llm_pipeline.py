@@ -54,3 +54,27 @@ def test_clean_documents_stay_and_planted_ones_go(spark):
     assert "Zk29dk30dk39" not in redacted[5] and redacted[1] == base
     clean = spark.createDataFrame([(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in given], docs.schema)
     assert C.quality(spark, clean, ROOT).count() >= clean.where("size(split(text, ' ')) > 30").count() * 0.95 - 3
+
+
+def test_rows_without_an_id_or_with_one_id_for_two_texts(spark):
+    rng = np.random.default_rng(4)
+    bench = spark.read.parquet(f"{ROOT}/benchmark.parquet").first().text
+    fresh = lambda: " ".join(f"w{rng.integers(10**9)} of the" for _ in range(30)) + "."
+    base, one, two, alone = fresh(), fresh(), fresh(), fresh()
+    rows = [(None, base), (4, base + " one"), (9, base), (5, one), (5, two), (None, alone), (None, alone + " x"), (None, bench), (6, bench), (7, None), (None, None), (7, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, first int")
+    after = C.dedup(spark, docs, ROOT)
+    assert after.columns == docs.columns
+    got = sorted(((r.doc_id or 0), r.text or "") for r in after.collect())
+    lone = [g for g in got if g[0] == 0 and g[1].startswith(alone)]
+    assert len(lone) == 1
+    assert sorted(g for g in got if g not in lone) == sorted([(4, base + " one"), (5, one), (5, two), (6, bench), (7, ""), (0, ""), (8, "")])
+    after = C.decontamination(spark, docs, ROOT)
+    assert after.columns == docs.columns
+    assert sorted(((r.doc_id or 0), r.text or "") for r in after.collect()) == sorted((i or 0, t or "") for i, t in rows if t != bench)
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = spark.read.parquet(f"{ROOT}/documents.parquet").limit(0)
+    for name, stage in C.STAGES:
+        assert stage(spark, docs, ROOT).count() == 0, name
