@@ -37,7 +37,7 @@ READ_BYTES = 1 << 16  # each record's member leaves the rest of what was read, w
 BATCH_BYTES = 1 << 20
 
 MANIFEST = "path string, n_records long, n_bytes long"
-SEGMENT = "record_id string, record_type string, url string, refers_to string, digest string, number int, total long, block binary, error string"
+SEGMENT = "record_id string, record_type string, url string, refers_to string, digest string, number int, total long, block binary"
 PAYLOAD = "record_id string, record_type string, url string, refers_to string, digest string, payload binary, error string"
 
 
@@ -184,9 +184,12 @@ def write_archives(pages: DataFrame, folder: str, *, segment_bytes: int = SEGMEN
     return stored(joined.mapInArrow(write, MANIFEST), "warc-manifest")[0]
 
 
-_READ = pa.schema(
-    [(k, {"number": pa.int32(), "total": pa.int64(), "block": pa.binary()}.get(k, pa.string())) for k in (c.split()[0] for c in SEGMENT.split(", "))]
-)
+def _arrow(columns: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in columns.split(", "))])
+
+
+_READ, _RESULT = _arrow(SEGMENT), _arrow(PAYLOAD)
 
 
 def file_records(path: str, n_records: int | None) -> Iterator[dict]:
@@ -216,44 +219,66 @@ def file_records(path: str, n_records: int | None) -> Iterator[dict]:
             yield {"record_id": path, "error": f"{seen} members instead of {n_records}"}
 
 
-def read_segments(manifest: DataFrame, segmented: bool) -> DataFrame:
-    """Records of the archives: those that are segments of a longer one, or the others and what could not be read."""
+def decoded(row: dict) -> dict:
+    """A whole record with its payload in place of its block; only responses have one."""
+    payload, error = None, row.get("error")
+    if error is None and row["record_type"] == "response":
+        try:
+            payload = http_payload(row["block"])
+            if row["digest"] is not None and sha1_base32(payload) != row["digest"]:
+                payload, error = None, "payload digest differs"
+        except ValueError as e:
+            error = str(e)
+    kept = {k: row.get(k) for k in ("record_id", "record_type", "url", "refers_to", "digest")}
+    return {**kept, "payload": payload, "error": error}
+
+
+def _in_batches(rows: Iterator[dict], field: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row.get(field) or b"")
+        if size > BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def _stored_records(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for path, n in zip(*(batch.column(c).to_pylist() for c in ("path", "n_records"))):
+            for row in file_records(path, n):
+                if "error" in row or row["record_type"] in ("response", "revisit", "continuation"):
+                    yield row
+
+
+def _files(manifest: DataFrame) -> DataFrame:
+    return manifest.select("path", "n_records").repartition(max(1, manifest.count()))
+
+
+def read_whole(manifest: DataFrame) -> DataFrame:
+    """Records that are no segments, decoded where they are read, and what could not be read."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (decoded(r) for r in _stored_records(batches) if r.get("number") is None)
+        yield from _in_batches(rows, "payload", _RESULT)
+
+    return _files(manifest).mapInArrow(read, PAYLOAD)
+
+
+def read_segments(manifest: DataFrame) -> DataFrame:
+    """Records that are segments of a longer one."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
-        for batch in batches:
-            for path, n in zip(*(batch.column(c).to_pylist() for c in ("path", "n_records"))):
-                for row in file_records(path, n):
-                    wanted = row["record_type"] in ("response", "revisit", "continuation") if "record_type" in row else True
-                    if not wanted or (row.get("number") is not None) != segmented:
-                        continue
-                    rows.append(row)
-                    size += len(row.get("block", b""))
-                    if size > BATCH_BYTES:
-                        yield pa.RecordBatch.from_pylist(rows, _READ)
-                        rows, size = [], 0
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, _READ)
-
-    return manifest.select("path", "n_records").repartition(max(1, manifest.count())).mapInArrow(read, SEGMENT)
+        yield from _in_batches((r for r in _stored_records(batches) if r.get("number") is not None), "block", _READ)
+
+    return _files(manifest).mapInArrow(read, SEGMENT)
 
 
 def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "block"):
-        payloads, errors = [], []
-        for kind, block, digest, error in zip(*(batch.column(k).to_pylist() for k in ("record_type", "block", "digest", "error"))):
-            payload = None
-            if error is None and kind == "response":
-                try:
-                    payload = http_payload(block)
-                    if digest is not None and sha1_base32(payload) != digest:
-                        payload, error = None, "payload digest differs"
-                except ValueError as e:
-                    error = str(e)
-            payloads.append(payload)
-            errors.append(error)
-        kept = ["record_id", "record_type", "url", "refers_to", "digest"]
-        yield pa.record_batch({**{k: batch.column(k) for k in kept}, "payload": pa.array(payloads, pa.binary()), "error": pa.array(errors, pa.string())})
+        yield from _in_batches(map(decoded, batch.to_pylist()), "payload", _RESULT)
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
@@ -261,8 +286,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 
     Parts of one record meet by its id, so what is gathered is one record's block. Parts that occur twice count once.
     """
-    whole = read_segments(manifest, False)
-    parts = read_segments(manifest, True)
+    parts = read_segments(manifest)
     once = parts.groupBy("record_id", "number").agg(
         *(F.max(k).alias(k) for k in ("url", "digest", "total")), F.min_by("record_type", F.when(F.col("number") == 1, 0).otherwise(1)).alias("record_type"), F.first("block").alias("block")
     )
@@ -281,5 +305,4 @@ def read_archives(manifest: DataFrame) -> DataFrame:
         "record_id", F.coalesce("record_type", F.lit("response")).alias("record_type"), "url", F.lit(None).cast("string").alias("refers_to"), "digest",
         "block", error.alias("error"),
     )
-    columns = ["record_id", "record_type", "url", "refers_to", "digest", "block", "error"]
-    return whole.select(*columns).unionByName(joined.select(*columns)).mapInArrow(_payloads, PAYLOAD)
+    return read_whole(manifest).unionByName(joined.mapInArrow(_payloads, PAYLOAD))
