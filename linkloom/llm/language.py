@@ -84,9 +84,11 @@ def subwords(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 def bags(texts: Texts) -> list[tuple[np.ndarray, np.ndarray]]:
     """(buckets, shares) of each text."""
     bucket, owner = subwords(texts)
+    order = np.argsort(owner, kind="stable")
+    bucket, cuts = bucket[order], np.searchsorted(owner[order], np.arange(len(texts) + 1))
     out = []
     for i in range(len(texts)):
-        found, n = np.unique(bucket[owner == i], return_counts=True)
+        found, n = np.unique(bucket[cuts[i] : cuts[i + 1]], return_counts=True)
         out.append((found.astype(np.int32), (n / max(n.sum(), 1)).astype(np.float32)))
     return out
 

@@ -1,5 +1,6 @@
 """Held-out accuracy, calibration and odd rows of language identification."""
 
+import time
 import zlib
 
 import numpy as np
@@ -49,3 +50,14 @@ def test_subwords_stay_inside_texts_and_words():
     assert len(whole[0]) == len(L.subwords(texts_of(pa.array(["ab", None, "", "cd"])))[0]) + 2  # the edges at the blank
     long = L.subwords(texts_of(pa.array(["wort " * 100_000])))
     assert (long[1] == 0).all() and len(long[0]) > 500_000
+
+
+def test_bags_of_many_short_texts():
+    """Each text's bag by itself, and in time linear in the texts."""
+    lines = [f"wort {k} über die {k % 7} x" for k in range(30_000)] + ["", None, "12 34"]
+    start = time.process_time()
+    found = L.bags(texts_of(pa.array(lines)))
+    assert time.process_time() - start < 8
+    for i in (0, 1, 17, 29_999, 30_000, 30_001, 30_002):
+        (alone,) = L.bags(texts_of(pa.array([lines[i]], pa.string())))
+        assert np.array_equal(found[i][0], alone[0]) and np.array_equal(found[i][1], alone[1])
