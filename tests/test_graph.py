@@ -10,6 +10,7 @@ from linkloom.plans import expand
 from linkloom.plans.bfs import bfs_depths
 from linkloom.plans.expand import CrawlState, expand_frontier, prepare_site
 from linkloom.schemas import PAGES
+from verification.queries import QUERIES
 
 
 def _levels(edges, seeds, max_depth):
@@ -249,3 +250,17 @@ def test_rounds_may_go_on_later(spark):
     for url in done:
         assert after[url].asDict() | {"priority": 0} == before[url].asDict() | {"priority": 0}
     assert {u for u, r in after.items() if r.status == "completed"} > done
+
+
+def test_outcomes_of_links_found_in_earlier_rounds(spark, tmp_path):
+    """Page 0 links to the others, and to URLs without a capture, which only later rounds decide."""
+    html = "<title>t</title>" + "".join(f'<a href="http://h/found/{i}">x</a>' for i in range(3))
+    rows = [(i, f"http://h/p/{i}", html if i == 0 else f"page {i}") for i in range(4)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = QUERIES["expand_frontier_outcomes"](spark, str(tmp_path)).collect()
+    assert {r.round for r in found} == {1, 2, 3}
+    by_url = {r.url: (r.outcome, r.reason) for r in found}
+    # Half as many URLs as pages in each round, none twice: the four pages, then two of the links.
+    assert len(found) == len(by_url) == 6
+    assert {by_url[f"http://h/p/{i}"] for i in range(4)} == {("processed", None)}
+    assert [by_url[u] for u in by_url if "found" in u] == [("error", "not_captured")] * 2

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -434,8 +435,8 @@ def bfs_depths(spark, sf_dir):
     )
 
 
-def _round(spark: SparkSession, sf_dir: str, share: float) -> expand.CrawlState:
-    """State after one round over a batch of so many URLs for each page."""
+def _crawl(spark: SparkSession, sf_dir: str, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """Frontier after some rounds, each over a batch of half as many URLs as there are pages, and all outcomes."""
     captures = I.linked_captures(spark, sf_dir).withColumn(
         "content_type", I.page_content_type()
     )
@@ -445,20 +446,25 @@ def _round(spark: SparkSession, sf_dir: str, share: float) -> expand.CrawlState:
     frontier, _ = stored(_frontier(spark, sf_dir), "frontier")
     state = expand.CrawlState(frontier, stored(pages, "pages")[0])
     site = expand.prepare_site(captures)
-    k = int(I.table(spark, sf_dir, "pages").count() * share)
-    return expand.expand_frontier(state, site, k, MAX_DEPTH, F.lit(1), at(START))
+    k, outcomes = I.table(spark, sf_dir, "pages").count() // 2, []
+    for number in range(1, rounds + 1):
+        state = expand.expand_frontier(state, site, k, MAX_DEPTH, F.lit(number), at(START))
+        outcomes.append(state.outcomes.withColumn("round", F.lit(number)))
+    return state.frontier, reduce(DataFrame.unionByName, outcomes)
 
 
 @query
 def expand_frontier_1(spark, sf_dir):
     """The frontier after one round."""
-    return _frontier_columns(_round(spark, sf_dir, 0.5).frontier)
+    return _frontier_columns(_crawl(spark, sf_dir, rounds=1)[0])
 
 
 @query
 def expand_frontier_outcomes(spark, sf_dir):
-    """Outcomes of one round over the whole pending frontier."""
-    return _round(spark, sf_dir, 1.0).outcomes.select("url", "outcome", "reason", "size")
+    """Outcomes of three rounds: URLs found in one are decided in the next."""
+    return _crawl(spark, sf_dir, rounds=3)[1].select(
+        long("round"), "url", "outcome", "reason", "size"
+    )
 
 
 @query
