@@ -63,15 +63,25 @@ def _bonus(condition: Column, points: int) -> Column:
     return F.when(condition, F.lit(points)).otherwise(F.lit(0))
 
 
+def anchor_points(anchor: Column) -> Column:
+    """What the words of an anchor text add to the priority of its links."""
+    words = F.lower(trim_unicode(anchor))
+    return (
+        _bonus(words.rlike("|".join(HIGH_PRIORITY_WORDS)), 20)
+        + _bonus(words.rlike("|".join(LOW_PRIORITY_WORDS)), -15)
+    )
+
+
 def link_priority(
-    anchor: Column, rel: Column, css_class: Column, page_importance: Column
+    anchor: Column | None, rel: Column, css_class: Column, page_importance: Column, points: Column | None = None
 ) -> Column:
-    """Crawl priority of a link, 1 to 100. ``rel`` and ``css_class`` may be NULL."""
-    words = F.lower(trim_unicode(anchor))
+    """Crawl priority of a link, 1 to 100. ``rel`` and ``css_class`` may be NULL.
+
+    Many links with one text: ``points`` are its :func:`anchor_points`, taken once, in place of the ``anchor``.
+    """
     priority = (
         F.lit(BASE_PRIORITY)
-        + _bonus(words.rlike("|".join(HIGH_PRIORITY_WORDS)), 20)
-        + _bonus(words.rlike("|".join(LOW_PRIORITY_WORDS)), -15)
+        + (anchor_points(anchor) if points is None else points)
         + _bonus(F.contains(rel, F.lit("nofollow")), -30)
         + _bonus(css_class.rlike("nav|menu"), -10)
         + _bonus(css_class.rlike("content|article"), 15)

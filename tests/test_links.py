@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.scoring import link_priority
 from linkloom.operators.links import extract_links, extract_scored_links, page_links
+from verification.queries import QUERIES
 
 SPOT = [
     ("read", None, None, 0.5, 60),
@@ -110,3 +111,27 @@ def test_each_link_is_resolved_once(captures):
     # The page text does not pass the explode.
     exploded = next(line for line in plan.splitlines() if "Generate" in line)
     assert "html#" not in exploded.split("], false")[0].rsplit("[", 1)[-1]
+
+
+def test_a_text_is_searched_once_for_all_its_links(spark, tmp_path):
+    """The text is searched below the explodes, and its 18 links get the priorities that they have one by one."""
+    schema = "doc_id long, text string, lang string, n_chars long"
+    docs = [(1, "a story", "de", 4), (2, "terms", "fr", 5), (2, None, "es", 7), (None, "x", None, None), (3, "\u2003ABOUT", "en", 6)]
+    spark.createDataFrame(docs, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["link_priority"](spark, str(tmp_path))
+    lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    explodes = [n for n, line in enumerate(lines) if "Generate" in line]
+    searches = [n for n, line in enumerate(lines) if "documentation" in line]
+    assert len(explodes) == 2 and len(searches) == 1 and searches[0] > explodes[-1]
+    prefix = {None: "", 0: "", 1: "Latest News ", 2: "Login ", 3: "Blog about us "}
+    rel = {"de": "nofollow", "fr": "noopener nofollow", "es": "NOFOLLOW"}
+    shapes = [None, "nav-item", "content", "nav content", "Article", "menu"]
+    links = [
+        (d, s, i, None if text is None else prefix[n if n is None else n % 4] + text, rel.get(lang), css)
+        for d, text, lang, n in docs for s, css in enumerate(shapes) for i in (0.5, 0.7999999999999999, 1.0)
+    ]
+    each = spark.createDataFrame(links, "d long, s long, i double, a string, r string, c string").select(
+        "d", "s", "i", link_priority(F.col("a"), F.col("r"), F.col("c"), F.col("i")).cast("long")
+    )
+    plain = [sorted(map(repr, map(tuple, df.collect()))) for df in (found, each)]
+    assert plain[0] == plain[1] and len(plain[0]) == 90

@@ -303,12 +303,13 @@ def link_priority(spark, sf_dir):
         F.lit("Article"), F.lit("menu"),
     )
     scores = F.array(F.lit(0.5), F.lit(0.5) + F.lit(0.2) + F.lit(0.1), F.lit(1.0))
-    rows = documents.select(
-        "doc_id", anchor.alias("anchor"), rel.alias("rel"), F.posexplode(shapes)
-        .alias("shape", "css_class"),
+    # A text is searched once, before its row is repeated for every shape.
+    searched = documents.select("doc_id", S.anchor_points(anchor).alias("points"), rel.alias("rel"))
+    rows = searched.select(
+        "*", F.posexplode(shapes).alias("shape", "css_class")
     ).select("*", F.explode(scores).alias("importance"))
     priority = S.link_priority(
-        F.col("anchor"), F.col("rel"), F.col("css_class"), F.col("importance")
+        None, F.col("rel"), F.col("css_class"), F.col("importance"), points=F.col("points")
     )
     return rows.select(
         "doc_id", long("shape"), "importance", priority.cast("long").alias("priority")
