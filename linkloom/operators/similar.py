@@ -33,15 +33,17 @@ WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
 def word_shingles(text: Column, words: int = WORDS) -> Column:
     """Distinct ``words``-word shingles of a text as ascending 64-bit hashes. Lower case; a shorter text is one shingle, a text
     without words has none."""
-    parts = F.filter(F.split(F.lower(text), WHITE_SPACE), lambda w: w != "")
+    parts = F.array_remove(F.split(F.lower(text), WHITE_SPACE), "")
 
     def of(tokens: Column) -> Column:
         last = F.greatest(F.size(tokens) - words, F.lit(0))
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.array_join(F.slice(tokens, i + 1, words), " ")))
+        # Words are hashed where they stand: no text is put together for a shingle. Places beyond the end add nothing.
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(tokens, i + k) for k in range(words))))
 
     # One binding of the words: a second use would split the text again.
     found = F.element_at(F.transform(F.array(parts), lambda t: F.when(F.size(t) > 0, of(t)).otherwise(F.array().cast("array<bigint>"))), 1)
-    return F.array_sort(F.array_distinct(found))
+    # Not array_sort, which compares boxed values through a lambda.
+    return F.sort_array(F.array_distinct(found))
 
 
 def _bin(value: Column) -> Column:
@@ -60,10 +62,12 @@ def band_keys(shingles: Column) -> Column:
 
     def filled(minima: Column) -> Column:
         runs = F.flatten(F.transform(minima, lambda x, i: F.array_repeat(x, _bin(x) - before(minima, i))))
-        # Around the end: the last bins take the first value.
-        return F.concat(runs, F.array_repeat(F.get(minima, F.lit(0)), F.lit(BINS) - F.size(runs)))
+        # Around the end: the last bins take the first value. The runs end with the last value's bin.
+        return F.concat(runs, F.array_repeat(F.get(minima, F.lit(0)), F.lit(BINS - 1) - _bin(F.element_at(minima, -1))))
 
-    minima = F.filter(shingles, lambda x, i: _bin(x) != before(shingles, i))
+    # The first of each bin, told by its top bits.
+    first = lambda x, i: (i == 0) | (F.shiftright(x.bitwiseXOR(F.get(shingles, i - 1)), 64 - BIN_BITS) != 0)
+    minima = F.filter(shingles, first)
     keys = bound(bound(minima, filled), lambda v: F.transform(
         F.sequence(F.lit(0), F.lit(BINS // ROWS - 1)),
         lambda b: F.xxhash64(b, *(F.get(v, b * ROWS + k) for k in range(ROWS))),
@@ -115,8 +119,9 @@ def _stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _side_pairs(star: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes around one centre that may be linked though one of them isn't linked to the centre."""
+def _placed(star: DataFrame) -> DataFrame:
+    """Differences of classes from their centres, one row per element that another class around the centre may meet it with;
+    ``place`` is the element's place by rarity."""
     element = star.select("a", "b", F.explode("diff").alias("e"))
     shared = element.groupBy(*_apart("a", "e")).agg(F.count("*").alias("df")).where("df > 1").drop("_apart")
     own = Window.partitionBy("a", "b")
@@ -125,6 +130,13 @@ def _side_pairs(star: DataFrame, percent: int) -> DataFrame:
         # Elements of one class alone come first and meet nothing.
         .withColumn("place", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "e")))
     )
+    return placed.where("place <= probe or not linked").select("a", "e", "b", "size", "n", "place", "probe", "linked")
+
+
+def _side_pairs(star: DataFrame, percent: int, placed: DataFrame | None = None) -> DataFrame:
+    """Pairs of classes around one centre that may be linked though one of them isn't linked to the centre. ``placed`` is read
+    twice, so it may be given as a stored table."""
+    placed = _placed(star) if placed is None else placed
     columns = ("b", "size", "n", "place")
     one = placed.where("place <= probe").select("a", "e", *(F.col(c).alias(f"{c}1") for c in columns))
     two = placed.where("not linked").select("a", "e", *(F.col(c).alias(f"{c}2") for c in columns))
@@ -171,22 +183,27 @@ def near_duplicates(pages: DataFrame, text: Column, threshold: float = PERCENT /
     spark, percent = pages.sparkSession, round(100 * threshold)
     sets = pages.select("page_id", word_shingles(F.coalesce(text, F.lit("")), words).alias("shingles")).where("page_id is not null")
     keyed, keyed_path = stored(
-        sets.select("page_id", F.size("shingles").alias("n_shingles"), *(F.xxhash64(F.lit(k), "shingles").alias(f"key{k}") for k in (1, 2)), "shingles"),
+        sets.select(
+            "page_id", F.size("shingles").alias("n_shingles"), *(F.xxhash64(F.lit(k), "shingles").alias(f"key{k}") for k in (1, 2)),
+            "shingles", band_keys(F.col("shingles")).alias("buckets"),
+        ),
         "similar-sets",
     )
     keys = ["n_shingles", "key1", "key2"]
     first = keyed.where("n_shingles > 0").groupBy(*keys).agg(F.min("page_id").alias("class"))
     first, _ = stored(first, "similar-classes")
-    classes, _ = stored(
-        keyed.select(F.col("page_id").alias("class"), "shingles").join(first.select("class"), "class"), "similar-class-sets"
-    )
-    members = classes.select("class", F.explode(band_keys(F.col("shingles"))).alias("bucket"))
+    # Pairs name classes only, so the sets of all pages serve for them: no copy of the classes' sets is made.
+    classes = keyed.select(F.col("page_id").alias("class"), "shingles")
+    buckets = keyed.select(F.col("page_id").alias("class"), "buckets").join(first.select("class"), "class")
+    # Read twice below.
+    members, buckets_path = stored(buckets.select("class", F.explode("buckets").alias("bucket")), "similar-buckets")
     shared = members.groupBy(*_apart("bucket")).agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
     members, members_path = stored(members.join(shared.select("bucket"), "bucket"), "similar-members")
     tested, tested_path = stored(_centres(members), "similar-centres")
     star, star_path = stored(_stars(tested, classes, percent), "similar-stars")
     known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    side, side_path = stored(_side_pairs(star, percent).join(known, ["a", "b"], "left_anti"), "similar-pairs")
+    placed, placed_path = stored(_placed(star), "similar-places")
+    side, side_path = stored(_side_pairs(star, percent, placed).join(known, ["a", "b"], "left_anti"), "similar-pairs")
     links = star.where("linked").select("a", "b").union(_with_sets(side, classes).where(_linked(percent)).select("a", "b"))
     labels, _ = connected(links)
     labels = labels.select(F.col("id").alias("class"), F.col("label").alias("group_id"))
@@ -195,12 +212,12 @@ def near_duplicates(pages: DataFrame, text: Column, threshold: float = PERCENT /
     score = F.col("common") / (F.size("set_a") + F.size("set_b") - F.col("common"))
     scored, _ = stored(to_first.select(F.col("b").alias("class"), F.col("a").alias("group_id"), score.alias("similarity")), "similar-scores")
     pages_of, _ = stored(keyed.select("page_id", *keys), "similar-pages")
-    for path in (keyed_path, members_path, tested_path, star_path, side_path):
+    for path in (keyed_path, buckets_path, members_path, tested_path, star_path, placed_path, side_path):
         drop_path(spark, path)
-    placed = first.join(scored, "class", "left").select(
+    classed = first.join(scored, "class", "left").select(
         *keys, F.coalesce("group_id", "class").alias("group_id"), F.coalesce("similarity", F.lit(1.0)).alias("similarity")
     )
-    return pages_of.join(placed, keys, "left").select(
+    return pages_of.join(classed, keys, "left").select(
         "page_id",
         "n_shingles",
         F.coalesce("group_id", "page_id").alias("group_id"),

@@ -115,3 +115,21 @@ def test_bands(spark):
         assert len(r.k) == S.BINS // S.ROWS and sorted(r.s) == r.s
         assert len(values) == min(len(r.s), S.BINS) or len(r.s) > 1
     assert len(set(rows[0].k)) == S.BINS // S.ROWS
+
+
+def test_sets_and_keys_are_made_and_written_once(spark, monkeypatch):
+    written, real = [], S.stored
+
+    def spy(df, label):
+        written.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return real(df, label)
+
+    monkeypatch.setattr(S, "stored", spy)
+    rows = families(random.Random(4))[:40]
+    df = spark.createDataFrame(rows, "page_id long, text string")
+    assert found(S.near_duplicates(df, F.col("text"))) == plain_groups(rows)
+    assert sum("shingles" in columns for columns, _ in written) == 1
+    # Band keys fill empty bins by array_repeat; the differences are ranked in one table.
+    assert sum("array_repeat" in plan for _, plan in written) == 1
+    assert sum("row_number()" in plan for _, plan in written) == 1
+    assert not any("array_sort(" in plan or "array_join(" in plan for _, plan in written)
