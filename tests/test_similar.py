@@ -133,3 +133,84 @@ def test_sets_and_keys_are_made_and_written_once(spark, monkeypatch):
     assert sum("array_repeat" in plan for _, plan in written) == 1
     assert sum("row_number()" in plan for _, plan in written) == 1
     assert not any("array_sort(" in plan or "array_join(" in plan for _, plan in written)
+
+
+def sketched(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "page_id long, text string")
+    sets = df.select(F.col("page_id").alias("class"), S.word_shingles(F.col("text")).alias("shingles"))
+    return sets, sets.select("class", F.explode(S.band_keys(F.col("shingles"))).alias("bucket"))
+
+
+def test_phrase_in_short_texts_makes_few_pairs(spark):
+    """300 short texts with one phrase in common and nothing else: few of them meet."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join([*rng.choices(words, k=rng.randrange(6, 16)), "all rights are reserved by us", *rng.choices(words, k=rng.randrange(6, 16))]) for _ in range(300)]
+    _, members = sketched(spark, texts)
+    assert S._centres(members).count() < 60
+
+
+def test_short_sets_meet(spark):
+    """Sets of four to sixty shingles and the same with as many more as a similarity of 0.8 allows share a bucket."""
+    rng = random.Random(6)
+    texts = []
+    for k in range(300):
+        n = 4 + k % 57
+        longer = [f"w{rng.randrange(10**9)}" for _ in range(n + n // 4 + 4)]
+        texts += [" ".join(longer[: n + 4]), " ".join(longer)]
+    _, members = sketched(spark, texts)
+    met = members.withColumn("pair", F.expr("class div 2")).groupBy("pair", "bucket").count().where("count = 2").select("pair").distinct()
+    assert met.count() == 300
+
+
+def test_bins_of_their_own_or_drawn(spark):
+    """Band keys against plain Python's values of bins."""
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in (3, 5, 7, 12, 40, 150, 400, 2000)]
+    sets, _ = sketched(spark, texts)
+    shown = sets.select("shingles", *(S.band_keys(F.col("shingles"), r).alias(f"keys{r}") for r in (4, 2, 1))).collect()
+    values, asked = [], []
+    for r in shown:
+        full = {}
+        for x in r.shingles:
+            full.setdefault((x >> (64 - S.BIN_BITS)) + S.BINS // 2, x)
+        for j in range(S.BINS):
+            tried = [j, *(S.DONORS[j] >> k & (S.BINS - 1) for k in range(0, 63, S.BIN_BITS))]
+            values.append(next((full[d] for d in tried if d in full), None))
+            asked.append(list(full.values()))
+    df = spark.createDataFrame([(k // S.BINS, k % S.BINS, v, a) for k, (v, a) in enumerate(zip(values, asked, strict=True))], "t int, j int, v long, a array<long>")
+    df = df.withColumn("v", F.coalesce("v", F.array_min(F.transform("a", lambda y: F.xxhash64("j", y)))))
+    for rows in (4, 2, 1):
+        band = df.groupBy("t", (F.col("j") / rows).cast("int").alias("band")).agg(F.sort_array(F.collect_list(F.struct("j", "v")))["v"].alias("v"))
+        keys = band.select("t", "band", F.xxhash64("band", *(F.get("v", F.lit(k)) for k in range(rows))).alias("key")).orderBy("t", "band").collect()
+        assert [k.key for k in keys] == [k for r in shown for k in r[f"keys{rows}"]]
+
+
+def test_narrowed(spark, monkeypatch):
+    rows, ids = spark.range(20000).select(F.concat(F.lit("p"), "id").alias("class")), spark.range(0, 20000, 40).select(F.concat(F.lit("p"), "id").alias("a"))
+    ids = ids.union(ids).union(spark.createDataFrame([(None,)], "a string"))
+    kept = S._narrowed(rows, "class", ids)
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("Subquer")[0]
+    assert "Exchange" not in plan and "Join" not in plan
+    assert ids.where("a is not null").join(kept, F.col("a") == F.col("class"), "left_anti").count() == 0
+    assert kept.count() < 1000
+    assert S._narrowed(rows, "class", ids.where("a is null")).count() < 100
+    monkeypatch.setattr(S, "MASK_WORDS", 4)
+    assert ids.where("a is not null").join(S._narrowed(rows, "class", ids), F.col("a") == F.col("class"), "left_anti").count() == 0
+
+
+def test_only_sets_to_compare_are_written(spark, monkeypatch):
+    written, real = {}, S.stored
+
+    def spy(df, label):
+        out = real(df, label)
+        written[label] = (out[0].columns, out[0].count())
+        return out
+
+    monkeypatch.setattr(S, "stored", spy)
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate([*texts, texts[3] + " more", texts[5] + " more", texts[3]])]
+    df = spark.createDataFrame(rows, "page_id long, text string")
+    assert found(S.near_duplicates(df, F.col("text"))) == plain_groups(rows)
+    assert [n for columns, n in written.values() if "shingles" in columns] == [4]
+    assert not any("text" in columns for columns, _ in written.values())
