@@ -6,7 +6,7 @@ the threshold; a group is what links connect.
 1. Pages with equal sets form a class, held by its smallest id. Only classes are compared.
 2. One permutation: the top bits of a shingle's hash name one of :data:`BINS` bins, the smallest hash of a bin is its value.
    An empty bin takes that of a bin drawn for it, the same for all sets: values of neighbours would make bands of one shingle, and every two short texts
-   with a phrase in common bucket mates. :data:`ROWS` bins make a band (fewer under a threshold of 0.8), its values the key of a bucket.
+   with a phrase in common bucket mates. Three bins make a band (two or one under a threshold of 0.8, :data:`ROWS` from 0.9 up), its values the key of a bucket.
 3. A bucket is chained to representatives: a class's centre is the class in its buckets that meets most others, and each class is
    compared with the centres of its bucket mates. So comparisons grow with the rows of buckets, not with pairs.
 4. Two bucket mates may be linked though one of them isn't linked to the centre. Both differ from it in known elements, and sizes tell how many of
@@ -17,7 +17,8 @@ the threshold; a group is what links connect.
 Pages are read twice: once for sizes, set keys and buckets, which are narrow, and once for the sets of classes that are to be compared. Sets are
 the widest thing here, wider than the text, so a bit mask of the ids at hand keeps all others out of tables and shuffles.
 
-Bands make a pair of similarity 0.8 (or of a lower threshold) share no bucket with a chance of 5e-8 at most; links found are always exact.
+Bands of three make a pair of similarity 0.8 share no bucket with a chance of 1e-13 in long texts; in the shortest, where shingles may fall into one bin,
+it is about 1e-6. Links found are always exact.
 """
 
 from __future__ import annotations
@@ -61,8 +62,8 @@ def _bin(value: Column) -> Column:
 
 
 def band_rows(percent: int) -> int:
-    """Bins of a band with which linked pairs share a bucket but for a chance of 5e-8."""
-    return ROWS if percent >= 80 else 2 if percent >= 50 else 1
+    """Bins of a band. Drawn bins agree by chance less evenly than bins of their own, so short sets need shorter bands than long ones would."""
+    return ROWS if percent >= 90 else 3 if percent >= 80 else 2 if percent >= 60 else 1
 
 
 def band_keys(shingles: Column, rows: int = ROWS) -> Column:
